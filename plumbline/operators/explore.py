@@ -198,52 +198,60 @@ def percentile_of_score(
 ) -> DataFrame:
     """For many inputs: (column, value, percentile) for every distinct value scored.
 
-    Population and scores are first reduced to distinct values with counts. The
-    values are cut into ranges at sketched quantiles; running counts are taken
-    inside a range and the totals of the ranges before it are added, so neither a
-    global sort nor a comparison of every score with every row takes place.
+    Both sides are cut into ranges at sketched quantiles and reduced to distinct
+    values with counts. Running counts are taken inside a range and the totals of
+    the ranges before it are added, so neither a global sort nor a comparison of
+    every score with every row takes place.
     """
-    doubles = {c: F.col(c).cast("double") for c in columns}
-    seen = long_form(population, doubles).select("column", "value", F.lit(1).alias("n"))
-    asked = long_form(scores, doubles).select("column", "value", F.lit(0).alias("n"))
-    values = (
-        seen.unionByName(asked)
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.sum("n").alias("n"), F.max((F.col("n") == 0).cast("int")).alias("asked"))
-    )
+    spark = population.sparkSession
     probs = [i / buckets for i in range(1, buckets)]
-    edges = population.agg(*[F.percentile_approx(c, probs, 1000).alias(c) for c in columns]).first()
-    splits = [[-math.inf, *sorted(set(map(float, edges[c] or ()))), math.inf] for c in columns]
-    parts = []
-    for c, split in zip(columns, splits):
-        mine = values.filter(F.col("column") == c)
-        if len(split) > 2:
-            mine = Bucketizer(inputCol="value", outputCol="bucket", splits=split).transform(mine)
-        else:
-            mine = mine.withColumn("bucket", F.lit(0.0))
-        parts.append(mine)
-    ranged = parts[0]
-    for part in parts[1:]:
-        ranged = ranged.unionByName(part)
-    totals = ranged.groupBy("column", "bucket").agg(F.sum("n").alias("bucket_n"))  # columns x buckets rows
-    before = totals.select(
-        "column",
-        "bucket",
-        (
-            F.sum("bucket_n").over(Window.partitionBy("column").orderBy("bucket")) - F.col("bucket_n")
-        ).alias("before"),
-        F.sum("bucket_n").over(Window.partitionBy("column")).alias("total"),
+    edges = population.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 1000).alias(c) for c in columns]).first()
+    ranges = Bucketizer(
+        inputCols=list(columns),
+        outputCols=[f"__bucket_{c}" for c in columns],
+        splitsArray=[[-math.inf, *sorted({0.0, *(edges[c] or ())}), math.inf] for c in columns],
+        handleInvalid="keep",
+    )
+
+    def tally(df: DataFrame) -> DataFrame:
+        cells = [
+            F.struct(
+                F.lit(c).alias("column"),
+                F.col(f"__bucket_{c}").cast("int").alias("bucket"),
+                F.col(c).cast("double").alias("value"),
+            )
+            for c in columns
+        ]
+        return ranges.transform(df.select(*columns)).select(F.inline(F.array(*cells))).filter("value IS NOT NULL")
+
+    totals: dict[str, dict[int, int]] = {c: {} for c in columns}
+    for r in tally(population).groupBy("column", "bucket").count().collect():  # at most columns x (buckets + 1) rows
+        totals[r["column"]][r["bucket"]] = r["count"]
+    before = small_frame(
+        spark,
+        [
+            (c, b, sum(n for other, n in totals[c].items() if other < b), sum(totals[c].values()))
+            for c in columns
+            for b in range(buckets + 2)
+        ],
+        "column string, bucket int, before bigint, total bigint",
+    )
+    values = (
+        tally(population)
+        .withColumn("n", F.lit(1))
+        .unionByName(tally(scores).withColumn("n", F.lit(0)))
+        .groupBy("column", "bucket", "value")
+        .agg(F.sum("n").alias("n"), F.max(F.col("n") == 0).alias("asked"))
     )
     running = F.sum("n").over(Window.partitionBy("column", "bucket").orderBy("value"))
     return (
-        ranged.withColumn("running", running)
-        .filter("asked = 1")
+        values.withColumn("running", running)
+        .filter("asked")
         .join(F.broadcast(before), ["column", "bucket"])
         .select(
             "column",
             "value",
-            ((F.col("before") + F.col("running")) * F.lit(100.0) / F.col("total")).alias("percentile"),
+            F.try_divide((F.col("before") + F.col("running")) * F.lit(100.0), F.col("total")).alias("percentile"),
         )
     )
 

@@ -82,13 +82,14 @@ def split_stratified(
 
 def fold_column(ids: Sequence[str], folds: int = 5, seed: int = 42) -> Column:
     """Shuffled fold number ``0..folds-1``."""
-    return F.floor(row_key(*ids, seed=seed) * F.lit(folds) / F.lit(float(KEY_SPACE))).cast("int")
+    return F.shiftright(row_key(*ids, seed=seed) * F.lit(folds), KEY_SPACE.bit_length() - 1).cast("int")
 
 
 def contiguous_folds(df: DataFrame, order: str, folds: int = 5, column: str = "fold") -> DataFrame:
     """Folds that are runs of the ``order`` column, cut at its exact quantiles."""
     n = df.agg(F.count(order)).first()[0]
-    starts = [math.ceil(i * n / folds) for i in range(1, folds)]
+    size, larger = divmod(n, folds)  # the first folds take the remainder
+    starts = [i * size + min(i, larger) for i in range(1, folds)]
     found = order_statistics(df, {order: F.col(order)}, {order: starts}, {order: n})
     fold = F.lit(0)
     for r in starts:
