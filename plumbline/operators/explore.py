@@ -194,7 +194,7 @@ def percent_at_or_below(population: DataFrame, values: Mapping[str, float]) -> D
 
 
 def percentile_of_score(
-    population: DataFrame, scores: DataFrame, columns: Sequence[str], buckets: int = 64
+    population: DataFrame, scores: DataFrame, columns: Sequence[str], buckets: int = 512
 ) -> DataFrame:
     """For many inputs: (column, value, percentile) for every distinct value scored.
 
