@@ -77,11 +77,11 @@ def _(spark, d):
 @registry.add(
     "profile_describe",
     f"WITH {REG_SQL}, t AS ({union(describe_sql('reg', c) for c in REG_COLUMNS)}) "
-    'SELECT column_name AS "column", n AS "count", round(mean, 6) AS mean, round(std, 6) AS std, round(lo, 6) AS "min", '
-    'round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75, round(hi, 6) AS "max" FROM t',
+    'SELECT column_name AS "column", n AS "count", round(mean, 8) AS mean, round(std, 8) AS std, round(lo, 8) AS "min", '
+    'round(q25, 8) AS q25, round(q50, 8) AS q50, round(q75, 8) AS q75, round(hi, 8) AS "max" FROM t',
 )
 def _(spark, d):
-    return rounded(profile.describe(reg_frame(spark, d), REG_COLUMNS))
+    return rounded(profile.describe(reg_frame(spark, d), REG_COLUMNS), 8)
 
 
 @registry.add(
@@ -239,11 +239,11 @@ def _(spark, d):
 
 @registry.add(
     "scatter_sample",
-    f"WITH {HOUSE_SQL} SELECT row_id, round(MedInc, 6) AS MedInc, round(target, 6) AS target FROM house "
+    f"WITH {HOUSE_SQL} SELECT row_id, round(MedInc, 8) AS MedInc, round(target, 8) AS target FROM house "
     f"ORDER BY {sql_key('row_id')}, row_id LIMIT 1000",
 )
 def _(spark, d):
-    return rounded(explore.scatter_sample(house_frame(spark, d), ["row_id"], ["MedInc", "target"]))
+    return rounded(explore.scatter_sample(house_frame(spark, d), ["row_id"], ["MedInc", "target"]), 8)
 
 
 @registry.add(
