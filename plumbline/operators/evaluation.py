@@ -16,12 +16,11 @@ import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from plumbline.functions.moments import adjusted_kurtosis, adjusted_skewness, jarque_bera, pearson, student_t_two_sided
 from plumbline.operators.explore import histogram, scatter_sample
 from plumbline.operators.regression import PREDICTION, Regressor
-from plumbline.operators.stats import quantiles
+from plumbline.operators.stats import quantiles, spread
 from plumbline.session import scratch_path, small_frame
 
 MACHINE_EPSILON = 2.220446049250313e-16
@@ -64,6 +63,17 @@ def predictions(model: Regressor, frames: Mapping[str, DataFrame], ids: Sequence
 def regression_metrics(preds: DataFrame, keys: Sequence[str] = ("model", "split"), p: int = 1) -> DataFrame:
     """The eleven metrics of every group. Error quantiles are exact and found for all groups together."""
     spark = preds.sparkSession
+    held = preds.storageLevel.useMemory or preds.storageLevel.useDisk
+    # Read once for the aggregates and a few times for the quantiles: kept unless the caller keeps it.
+    preds = preds if held else spread(preds.select(*keys, "y_true", "y_pred"))
+    try:
+        return small_frame(spark, *_metric_rows(preds, keys, p))
+    finally:
+        if not held:
+            preds.unpersist()
+
+
+def _metric_rows(preds: DataFrame, keys: Sequence[str], p: int) -> tuple[list[tuple], str]:
     e, y = residual(), F.col("y_true")
     wide = preds.groupBy(*keys).agg(
         F.count("*").alias("n"),
@@ -79,13 +89,14 @@ def regression_metrics(preds: DataFrame, keys: Sequence[str] = ("model", "split"
     rows = wide.collect()  # one row per model and split
     groups = {str(i): r for i, r in enumerate(rows)}
 
-    def member(r) -> Column:
+    position = F.lit(None).cast("int")
+    for g, r in groups.items():
         test = F.lit(True)
         for k in keys:
             test = test & F.col(k).eqNullSafe(F.lit(r[k]))
-        return F.when(test, F.abs(e))
-
-    cut = quantiles(preds, {g: member(r) for g, r in groups.items()}, (0.95, 0.99), {g: r["n"] for g, r in groups.items()})
+        position = F.when(test, F.lit(int(g))).otherwise(position)
+    sizes = {g: r["n"] for g, r in groups.items()}
+    cut = quantiles(preds, {g: F.abs(e) for g in groups}, (0.95, 0.99), sizes, group=position)
     out = []
     for g, r in groups.items():
         values = {**r.asDict(), "q95_error": cut[g][0.95], "q99_error": cut[g][0.99]}
@@ -93,7 +104,7 @@ def regression_metrics(preds: DataFrame, keys: Sequence[str] = ("model", "split"
         values["adjusted_r2"] = None if r["r2"] is None or rest <= 0 else 1 - (1 - r["r2"]) * (r["n"] - 1) / rest
         out.append((*[str(r[k]) for k in keys], r["n"], *[values[m] for m in METRICS]))
     ddl = ", ".join([f"{k} string" for k in keys] + ["n bigint"] + [f"{m} double" for m in METRICS])
-    return small_frame(spark, out, ddl)
+    return out, ddl
 
 
 def residual_moments(preds: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
@@ -361,7 +372,7 @@ class ModelEvaluator:
         spark = train.sparkSession
         frames = {"train": train, "test": test, **({"validation": validation} if validation is not None else {})}
         preds = predictions(model, frames, self.ids)
-        cached = preds.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = spread(preds)
         try:
             on_test = cached.filter(F.col("split") == "test")
             residuals = residual_report(on_test, self.ids)

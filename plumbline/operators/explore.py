@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import equal_width_bin, numeric_columns, row_key
 from plumbline.functions.moments import pearson
 from plumbline.operators import profile
-from plumbline.operators.stats import long_form, moments, per_column, quantiles, unpivot
+from plumbline.operators.stats import moments, per_column, quantiles, spread, unpivot
 from plumbline.session import small_frame
 
 
@@ -95,15 +95,25 @@ def box_stats(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataF
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Full Pearson matrix in long form (column_a, column_b, r), pairwise complete.
+    """Full Pearson matrix in long form (row, col, column_a, column_b, r), pairwise complete.
 
-    Each unordered pair is measured once, all pairs in one pass.
+    Each unordered pair is measured once, all pairs in one pass. Deviations are only
+    measured per pair where a column has gaps; others share one per column.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i)]
+    stats = moments(df, columns)
+    whole = {c for c in columns if stats[c].missing == 0}
+
+    def measure(a: str, b: str) -> Column:
+        if a == b:
+            return F.lit(1.0 if stats[a].std_pop else None).cast("double")
+        if {a, b} <= whole:
+            return F.try_divide(F.covar_pop(a, b), F.lit((stats[a].std_pop or 0.0) * (stats[b].std_pop or 0.0)))
+        return pearson(a, b)
+
     wide = df.agg(
-        *[pearson(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs],
-        *[pearson(c, c).alias(f"r_{i}_{i}") for i, c in enumerate(columns)],
+        F.count("*").alias("n"),
+        *[measure(columns[i], columns[j]).alias(f"r_{i}_{j}") for i in range(len(columns)) for j in range(i + 1)],
     )
     cells = [
         F.struct(
@@ -293,7 +303,7 @@ def report(df: DataFrame, path: str, label: str | None = None, lat: str = "Latit
     """Write every exploratory table under ``path`` and list them as (artifact, rows)."""
     numeric = numeric_columns(df)
     features = [c for c in numeric if c != label]
-    cached = df.persist()
+    cached = spread(df)
     try:
         tables = {
             "overview": profile.overview(cached),

@@ -14,12 +14,11 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from plumbline.operators.linear import cross_products, fold_rmse
 from plumbline.operators.neighbors import NearestNeighbors, NeighborModel
 from plumbline.operators.splitting import fold_column
-from plumbline.operators.stats import moments
+from plumbline.operators.stats import moments, spread
 from plumbline.session import small_frame
 
 FEATURES, PREDICTION = "__features", "prediction"
@@ -213,9 +212,23 @@ def fit_context(df: DataFrame, features: Sequence[str], label: str, ids: Sequenc
 def fit_regressor(name: str, params: Mapping, df: DataFrame, ctx: FitContext, factory=None) -> Regressor:
     """Fit one model. ``df`` may already hold the assembled vectors."""
     estimator = (factory or FACTORIES[name])(params, ctx)
-    if FEATURES not in df.columns and not isinstance(estimator, NearestNeighbors):
-        df = VectorAssembler(inputCols=ctx.features, outputCol=FEATURES).transform(df)
-    return Regressor(name, estimator.fit(df), list(ctx.features), ctx.label)
+    if FEATURES in df.columns or isinstance(estimator, NearestNeighbors):
+        return Regressor(name, estimator.fit(df), list(ctx.features), ctx.label)
+    vectors = assembled(df, ctx.features, ctx.label)
+    if name in LINEAR:  # one scan
+        return Regressor(name, estimator.fit(vectors), list(ctx.features), ctx.label)
+    cached = spread(vectors)
+    try:
+        return Regressor(name, estimator.fit(cached), list(ctx.features), ctx.label)
+    finally:
+        cached.unpersist()
+
+
+def assembled(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Complete rows with their feature vector."""
+    names = [*features, label]
+    complete = df.select(*keep, *[c for c in names if c not in keep]).dropna(subset=names)
+    return VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(complete)
 
 
 def squared_error(df: DataFrame, label: str) -> Column:
@@ -318,10 +331,8 @@ class ModelTrainer:
         self.results: dict[str, TrainResult] = {}
 
     def _prepared(self, df: DataFrame, features: Sequence[str], label: str, ids: Sequence[str]) -> DataFrame:
-        complete = df.select(*ids, label, *features).dropna(subset=[label, *features])
-        complete = complete.withColumn("__fold", fold_column(ids, self.cv_folds, self.seed))
-        vectors = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(complete)
-        return vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        folded = df.withColumn("__fold", fold_column(ids, self.cv_folds, self.seed))
+        return spread(assembled(folded, features, label, [*ids, "__fold"]))
 
     def train_single(
         self, name: str, train: DataFrame, features: Sequence[str], label: str, ids: Sequence[str], test: DataFrame | None = None

@@ -10,13 +10,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from plumbline.functions.columns import equal_width_bin, numeric_columns
 from plumbline.functions.moments import pearson
 from plumbline.operators.linear import cross_products, fold_rmse, solve, total
 from plumbline.operators.splitting import fold_column
-from plumbline.operators.stats import moments
+from plumbline.operators.stats import moments, spread
 from plumbline.session import small_frame
 
 METHODS = ("f_test", "mutual_info", "rfe", "lasso")
@@ -149,7 +148,7 @@ class FeatureSelector:
         """Drop the least important feature of a forest until ``k`` are left; rank 1 is kept."""
         left = list(features)
         rank = {}
-        data = df.select(label, *features).dropna().persist(StorageLevel.MEMORY_AND_DISK)
+        data = spread(df.select(label, *features).dropna())
         try:
             while len(left) > k:
                 vectors = VectorAssembler(inputCols=left, outputCol="__features").transform(data)

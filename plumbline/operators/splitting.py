@@ -21,40 +21,39 @@ def split_column(is_test: Column) -> Column:
     return F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
 
 
-def _cut(df: DataFrame, groups: dict[str, Column], sizes: dict[str, int], wanted: dict[str, int], ids, seed) -> Column:
-    """The ``wanted`` rows with the smallest (key, ids) in each group, as one filter expression.
+def _cut(df: DataFrame, group: Column, sizes: Sequence[int], wanted: Sequence[int], ids: Sequence[str], seed: int) -> Column:
+    """The ``wanted[g]`` rows with the smallest (key, id) of every group ``g``, as one filter expression.
 
     The key of the last wanted row is an exact order statistic. Rows that share that
     key are told apart by their first id, again by an order statistic over just them.
     """
     key = row_key(*ids, seed=seed)
-    names = [g for g in groups if wanted[g]]
-    keys = {g: F.when(groups[g], key) for g in names}
-    found = order_statistics(df, keys, {g: [wanted[g] - 1] for g in names}, sizes)
-    cut = {g: int(found[g, wanted[g] - 1]) for g in names}
-    chosen = F.lit(False)
-    if not names:
-        return chosen
-    tied = df.agg(
-        *[F.count_if(groups[g] & (key < F.lit(cut[g]))).alias(f"l{i}") for i, g in enumerate(names)],
-        *[F.count_if(groups[g] & (key == F.lit(cut[g]))).alias(f"e{i}") for i, g in enumerate(names)],
-    ).first()
-    for i, g in enumerate(names):
-        need, equal = wanted[g] - tied[f"l{i}"], tied[f"e{i}"]
-        last = key == F.lit(cut[g])
-        if need < equal:
-            first_id = F.when(groups[g] & last, col(ids[0]).cast("double"))
-            edge = order_statistics(df, {g: first_id}, {g: [need - 1]}, {g: equal})[g, need - 1]
-            last = last & (col(ids[0]) <= F.lit(edge))
-        chosen = chosen | (groups[g] & ((key < F.lit(cut[g])) | last))
+    names = [str(g) for g in range(len(sizes))]
+    ranks = {n: [w - 1] for n, w in zip(names, wanted) if w}
+    found = order_statistics(df, {n: key for n in names}, ranks, dict(zip(names, sizes)), group=group)
+    cuts = [int(found[n, w - 1]) if w else -1 for n, w in zip(names, wanted)]
+    last = F.get(F.array(*[F.lit(c).cast("bigint") for c in cuts]), group)
+    chosen = key <= last
+    tallies = (
+        df.select(group.alias("g"), key.alias("k"), last.alias("cut"))
+        .groupBy("g")
+        .agg(F.count_if(F.col("k") < F.col("cut")).alias("less"), F.count_if(F.col("k") == F.col("cut")).alias("equal"))
+        .collect()
+    )  # one row per group
+    for r in tallies:
+        g, need = r["g"], wanted[r["g"]] - r["less"]
+        if wanted[g] and need < r["equal"]:
+            tied = (group == g) & (key == F.lit(cuts[g]))
+            first_id = F.when(tied, col(ids[0]).cast("double"))
+            edge = order_statistics(df, {"id": first_id}, {"id": [need - 1]}, {"id": r["equal"]})["id", need - 1]
+            chosen = chosen & ~(tied & (col(ids[0]) > F.lit(edge)))
     return chosen
 
 
 def split_exact(df: DataFrame, ids: Sequence[str], test_size: float = 0.2, seed: int = 42, column: str = "split") -> DataFrame:
     """Add ``split``: exactly ``ceil(test_size * n)`` test rows. The ids must identify a row."""
     n = df.count()
-    everything = {"all": F.lit(True)}
-    is_test = _cut(df, everything, {"all": n}, {"all": math.ceil(test_size * n - 1e-9)}, ids, seed)
+    is_test = _cut(df, F.lit(0), [n], [math.ceil(test_size * n - 1e-9)], ids, seed)
     return df.withColumn(column, split_column(is_test))
 
 
@@ -73,10 +72,10 @@ def split_stratified(
     """Add ``split`` with ``ceil(test_size * n_bin)`` test rows in every label bin."""
     s = moments(df, [label])[label]
     binned = df.withColumn("__bin", label_bin(label, s.min, s.max, bins))
-    sizes = {str(r["__bin"]): r["count"] for r in binned.groupBy("__bin").count().collect()}  # `bins` rows
-    groups = {b: F.col("__bin") == F.lit(int(b)) for b in sizes}
-    wanted = {b: math.ceil(test_size * n - 1e-9) for b, n in sizes.items()}
-    is_test = _cut(binned, groups, sizes, wanted, ids, seed)
+    counted = {r["__bin"]: r["count"] for r in binned.groupBy("__bin").count().collect()}  # `bins` rows
+    sizes = [counted.get(b, 0) for b in range(bins)]
+    wanted = [math.ceil(test_size * n - 1e-9) for n in sizes]
+    is_test = _cut(binned, F.col("__bin"), sizes, wanted, ids, seed)
     return binned.withColumn(column, split_column(is_test)).drop("__bin")
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 # Rows that one bracket may hold when they are gathered into one array.
 GATHER_LIMIT = 20_000
@@ -94,10 +95,11 @@ class _Search:
     low: float | None = None
     high: float | None = None
     found: float | None = None
+    disjoint: bool = False
 
     def member(self) -> Column:
-        c = F.col(f"v{self.value}")
-        inside = c.isNotNull()
+        c = F.col("v") if self.disjoint else F.col(f"v{self.value}")
+        inside = (F.col("g") == self.value) if self.disjoint else c.isNotNull()
         if self.low is not None:
             inside = inside & (c > F.lit(self.low))
         if self.high is not None:
@@ -124,20 +126,27 @@ def order_statistics(
     counts: Mapping[str, int],
     gather_limit: int = GATHER_LIMIT,
     accuracy: int = SKETCH_ACCURACY,
+    group: Column | None = None,
 ) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ``ranks`` among the non-null ``values`` of each name.
 
-    Values must be numbers that a double holds exactly. Each round costs two scans
+    Values must be numbers that a double holds exactly. With ``group``, all names
+    share one value expression and a row belongs to the name at its group's position,
+    which saves an unpivot. Each round costs two scans
     of the needed columns and divides the rows in question by about 500.
     """
     names = list(values)
-    base = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
+    disjoint = group is not None
+    if disjoint:
+        base = df.select(group.cast("int").alias("g"), values[names[0]].alias("v")).filter("g IS NOT NULL AND v IS NOT NULL")
+    else:
+        base = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(names)])
     searches = [
-        _Search(i, rank, 0, counts[n]) for i, n in enumerate(names) for rank in sorted(set(ranks.get(n, ())))
+        _Search(i, rank, 0, counts[n], disjoint=disjoint) for i, n in enumerate(names) for rank in sorted(set(ranks.get(n, ())))
     ]
     while wide := [s for s in searches if s.found is None and s.inside > gather_limit]:
         proposals = _propose(base, wide, accuracy)
-        tallies = _tally(base, proposals)
+        tallies = _counts(_grouped_buckets(base, proposals) if disjoint else _buckets(base, proposals), proposals)
         for s in wide:
             for candidate in proposals[s.value]:
                 s.narrow(candidate, *tallies[(s.value, candidate)])
@@ -168,8 +177,8 @@ def _propose(base: DataFrame, searches: Sequence[_Search], accuracy: int) -> dic
     return {v: sorted(candidates) for v, candidates in proposals.items()}
 
 
-def _tally(base: DataFrame, proposals: Mapping[int, list[float]]) -> dict[tuple[int, float], tuple[int, int]]:
-    """Exact numbers of rows below and equal to every proposed value, in one pass."""
+def _buckets(base: DataFrame, proposals: Mapping[int, list[float]]) -> DataFrame:
+    """(v, bucket, at_edge) of every value among its proposed edges: a row per column."""
     used = sorted(proposals)
     bucketed = Bucketizer(
         inputCols=[f"v{v}" for v in used],
@@ -184,13 +193,31 @@ def _tally(base: DataFrame, proposals: Mapping[int, list[float]]) -> dict[tuple[
         at_edge = F.coalesce(F.col(f"v{v}") == F.get(edges, bucket - 1), F.lit(False))
         bucket = F.when(F.col(f"v{v}").isNotNull(), bucket)
         rows.append(F.struct(F.lit(v).alias("v"), bucket.alias("bucket"), at_edge.alias("at_edge")))
-    counted = (
-        bucketed.select(F.inline(F.array(*rows))).filter("bucket IS NOT NULL").groupBy("v", "bucket", "at_edge").count()
-    ).collect()
+    return bucketed.select(F.inline(F.array(*rows))).filter("bucket IS NOT NULL")
+
+
+def _grouped_buckets(base: DataFrame, proposals: Mapping[int, list[float]]) -> DataFrame:
+    """The same for values split by group: every row is placed among the edges of its own group."""
+    nothing = F.array().cast("array<double>")
+    by_group = [
+        F.array(*[F.lit(float(e)) for e in proposals[v]]) if v in proposals else nothing for v in range(max(proposals) + 1)
+    ]
+    edges = F.get(F.array(*by_group), F.col("g"))
+    placed = base.select(F.col("g"), F.col("v").cast("double").alias("x"), edges.alias("edges")).filter(F.size("edges") > 0)
+    return placed.select(
+        F.col("g").alias("v"),
+        F.size(F.filter("edges", lambda e: e <= F.col("x"))).alias("bucket"),
+        F.array_contains("edges", F.col("x")).alias("at_edge"),
+    )
+
+
+def _counts(buckets: DataFrame, proposals: Mapping[int, list[float]]) -> dict[tuple[int, float], tuple[int, int]]:
+    """Exact numbers of rows below and equal to every proposed value, in one pass."""
+    counted = buckets.groupBy("v", "bucket", "at_edge").count().collect()  # two rows per proposed value
     result = {}
-    for v in used:
+    for v, edges in proposals.items():
         mine = [r for r in counted if r["v"] == v]
-        for i, edge in enumerate(proposals[v], start=1):
+        for i, edge in enumerate(edges, start=1):
             less = sum(r["count"] for r in mine if r["bucket"] < i)
             equal = sum(r["count"] for r in mine if r["bucket"] == i and r["at_edge"])
             result[(v, edge)] = (less, equal)
@@ -220,6 +247,7 @@ def quantiles(
     probs: Sequence[float],
     counts: Mapping[str, int] | None = None,
     accuracy: int | None = None,
+    group: Column | None = None,
 ) -> dict[str, dict[float, float | None]]:
     """Linearly interpolated quantiles of every column, ``{column: {p: value}}``.
 
@@ -240,7 +268,7 @@ def quantiles(
         n: {r for position in by_prob.values() for r in (math.floor(position), math.ceil(position))}
         for n, by_prob in positions.items()
     }
-    found = order_statistics(df, exprs, ranks, counts)
+    found = order_statistics(df, exprs, ranks, counts, group=group)
 
     def value(name: str, p: float) -> float | None:
         if not counts[name]:
@@ -252,6 +280,23 @@ def quantiles(
     return {n: {p: value(n, p) for p in probs} for n in names}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Cache rows that are read many times, over at least as many partitions as there are cores.
+
+    Filling the cache shows how many partitions hold rows; only an input with fewer
+    than that (a small or unsplittable file) is dealt out again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    used = cached.select(F.spark_partition_id().alias("p")).distinct().count()
+    if used >= cores:
+        return cached
+    even = cached.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    even.count()
+    cached.unpersist()
+    return even
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, n) for all columns in one shuffle; pre-aggregated before it."""
     values = {c: F.col(c).cast("string") for c in columns}

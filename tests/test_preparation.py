@@ -98,6 +98,14 @@ def test_exact_split(spark, size):
     assert got.exceptAll(again).count() == 0
 
 
+def test_exact_split_with_equal_keys(spark, monkeypatch):
+    df = spark.range(500).withColumnRenamed("id", "row_id")
+    monkeypatch.setattr(splitting, "row_key", lambda *ids, seed=42: F.col("row_id") % 3)
+    got = splitting.split_exact(df, ["row_id"], 0.2)
+    test = sorted(r["row_id"] for r in got.filter("split = 'test'").collect())
+    assert test == [i for i in range(500) if i % 3 == 0][:100]
+
+
 def test_stratified_split_keeps_shares(spark):
     df = spark.range(1000).select(F.col("id").alias("row_id"), (F.col("id") % 100).cast("double").alias("y"))
     got = splitting.split_stratified(df, ["row_id"], "y").groupBy("y").pivot("split").count()

@@ -32,6 +32,18 @@ def test_narrowing_is_exact(spark, kind):
     assert [found["v", k] for k in ranks] == [ordered[k] for k in ranks]
 
 
+def test_narrowing_by_group(spark):
+    rng = np.random.default_rng(2)
+    x, g = np.exp(rng.normal(0, 3, 6000)), rng.integers(0, 3, 6000)
+    x[g == 1] = np.round(x[g == 1])
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, x)], "g0 int, x double").repartition(4)
+    values = {str(i): F.col("x") for i in range(3)}
+    counts = {str(i): int((g == i).sum()) for i in range(3)}
+    ranks = {str(i): [0, counts[str(i)] // 2, counts[str(i)] - 1] for i in range(3)}
+    found = order_statistics(df, values, ranks, counts, gather_limit=20, accuracy=50, group=F.col("g0"))
+    assert all(found[n, k] == np.sort(x[g == int(n)])[k] for n in ranks for k in ranks[n])
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
 def test_quantiles_match_numpy(spark, values):
