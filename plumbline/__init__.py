@@ -1,5 +1,8 @@
-"""plumbline: profiling, cleaning, feature building and regression on Spark DataFrames."""
+"""Profiling, cleaning, feature building and regression on Spark DataFrames."""
 
-from plumbline.session import get_spark
+import sys
 
-__all__ = ["get_spark"]
+from pyspark import cloudpickle
+
+#: Functions that run in Python workers travel by value: workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,10 +3,9 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from plumbline.plans.catalog import ORACLE, QUERIES
 from tools.check import compare, connect
 
-QUERIES, ORACLE = queries(), oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -28,5 +27,5 @@ def test_entry(spark):
 
 
 def test_names():
-    assert set(ORACLE) <= set(QUERIES)
-    assert not [n for n in QUERIES if n.startswith("op") and n[2:3].isdigit()]
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
