@@ -25,7 +25,8 @@ def _reassembled(docs: DataFrame, id_col: str, text_col: str, min_chars: int, mi
     keyed = base.where("id is not null").select("id", F.xxhash64("text").alias("version"), F.posexplode(lines(F.col("text"))).alias("pos", "line"))
     keyed = keyed.select("id", "version", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     hashed = settle(keyed.select("id", "version", "pos", F.xxhash64("key").alias("h"), F.xxhash64(F.lit(1), "key").alias("g")))
-    shared = hashed.groupBy("h", "g").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    counted = hashed.groupBy("h", "g").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper"))
+    shared = settle(counted.where(F.col("n") >= min_docs))  # apart from the join, which can then split a line of very many documents
     lost = (
         hashed.join(shared, ["h", "g"])
         .where(F.col("id") != F.col("keeper"))

@@ -79,3 +79,50 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
        (epochs * size + greatest(0, least(size, round(target - epochs * source_size) - before)))::BIGINT AS taken
 FROM summed
 """
+
+STRICT = "adult casino escort gambling malware phishing poker porn sex torrent viagra warez xxx".split()
+SOFT = "ad ads affiliate banner bet cheap click coupon crack deal download free promo redirect track tracker win".split()
+
+
+def _hits(term: str) -> str:
+    """Occurrences between boundaries; a boundary may serve two neighbours, so it is doubled first."""
+    return f"len(regexp_extract_all(u, '(?:^|[^a-z0-9]){term}(?:$|[^a-z0-9])'))"
+
+
+def _fitting(host: str, path: str) -> str:
+    rules = ("org/", "example.org/es/", "example.org/en/1", "com/fr/", "com/de/")
+    fits = []
+    for rule in rules:
+        of, _, below = rule.partition("/")
+        fits.append(f"CASE WHEN ({host} = '{of}' OR ends_with({host}, '.{of}')) AND starts_with({path}, '/{below}') THEN '{rule}' END")
+    return f"list_filter([{', '.join(fits)}], lambda r: r IS NOT NULL)"
+
+
+URL_FILTERS = f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), {FOLD}) AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         regexp_replace(translate(coalesce(url, ''), {FOLD}), '([^a-z0-9])', '\\1\\1', 'g') AS u FROM pages),
+counted AS (
+  SELECT page_id, host, path, [{', '.join(_hits(t) for t in STRICT)}] AS strict, [{', '.join(_hits(t) for t in SOFT)}] AS soft,
+         {_fitting("host", "path")} AS fits FROM parts),
+judged AS (
+  SELECT page_id, host, path, CASE WHEN len(fits) > 0 THEN list_reduce(fits, lambda a, b: CASE WHEN length(b) > length(a) THEN b ELSE a END) END AS rule,
+         list_sum(strict)::BIGINT AS strict_hits, list_sum(soft)::BIGINT AS soft_hits,
+         len(list_filter(soft, lambda n: n > 0))::BIGINT AS soft_terms FROM counted)
+SELECT page_id, host, path, rule, strict_hits, soft_hits, soft_terms, 0.5 * soft_terms::DOUBLE AS soft_weight,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN strict_hits > 0 OR soft_terms >= 2 THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+q AS (SELECT vec_id AS query_id, min(e) AS w FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id),
+scored AS (
+  SELECT query_id, vec_id, list_inner_product(w, e)::BIGINT AS score FROM q JOIN v ON vec_id <> query_id AND len(w) = len(e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

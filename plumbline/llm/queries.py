@@ -7,17 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import oracles
+import public_tokenizers
+
+from plumbline.llm import language, oracles
 from plumbline.llm.common import table
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.mixing import mix
+from plumbline.llm.pieces import encode_pieces
 from plumbline.llm.quality import judge
+from plumbline.llm.topk import top_k
+from plumbline.llm.url_filter import filter_urls
+
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -27,11 +38,41 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tagged = language.identify(docs, language.learn(docs))
+    return tagged.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_line_dedup, op7_mixing)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_url_filters,
+        op3_line_dedup,
+        op7_mixing,
+        op8_top_k,
+        op9_sentencepiece,
+        op10_language_id,
+    )
 }
 ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
+    "op2_url_filters": oracles.URL_FILTERS,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op7_mixing": oracles.MIXING,
+    "op8_top_k": oracles.TOP_K,
 }
