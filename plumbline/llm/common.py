@@ -67,3 +67,10 @@ def settle(df: DataFrame) -> DataFrame:
         else:
             scratch_path(df.sparkSession, "checkpoint")  # a local session's own folder, or an error on a cluster
     return df.checkpoint()
+
+
+def ready_side(side: DataFrame, most_rows: int) -> DataFrame:
+    """A side of a join, settled and counted: broadcast up to ``most_rows`` rows, else left to a shuffled join
+    (adaptive execution splits its hot keys, as both sides are then plain exchanges)."""
+    side = settle(side)
+    return F.broadcast(side) if side.count() <= most_rows else side

@@ -13,10 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WORD, pack, settle, unpack
+from plumbline.llm.common import WORD, pack, ready_side, settle, unpack
 
 #: Key digits that place a row in a range (52 bits: exact in a double).
 DIGITS = 13
+#: Sources that are broadcast at most.
+BROADCAST_ROWS = 10_000
 
 
 def source_targets(sources: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
@@ -51,7 +53,7 @@ def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights
         )
     )
     sources = sized.groupBy("grp", "source").agg(F.count("*").alias("rows"), F.sum("size").alias("source_size"))
-    targets = source_targets(sources, weights, share, most)
+    targets = ready_side(source_targets(sources, weights, share, most), BROADCAST_ROWS)
     placed = sized.select("id", "size", "key", "grp").join(targets, "grp")
     unit = F.conv(F.substring("key", 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
     placed = placed.withColumn("slot", F.floor(unit * F.ceil(F.sqrt("rows"))))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import BLANKS, WORD, settle, words
+from plumbline.llm.common import BLANKS, WORD, ready_side, settle, words
 
 SYMBOLS = "#*$%&|<>"
 #: Rule: when a document fails it.
@@ -20,7 +20,8 @@ RULES = {
     "symbols": "10 * n_symbols > 3 * word_chars",
     "dup_lines": "2 * n_dup_lines > n_word_lines",
 }
-BASE = ("short", "repetitive")
+#: Hosts that are broadcast at most.
+BROADCAST_ROWS = 10_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -108,7 +109,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     measured = measure(docs, id_col, text_col, host_col)
     judged = settle(measured.select("*", *[F.expr(cond).alias(f"fails_{r}") for r, cond in RULES.items()]))
     hosts = host_rates(judged).select(F.col("host").alias("of"), F.greatest(*[F.col(f"rate_{r}") for r in RULES]).alias("host_rate"))
-    found = judged.join(hosts, F.col("host").eqNullSafe(F.col("of")))
+    found = judged.join(ready_side(hosts, BROADCAST_ROWS), F.col("host").eqNullSafe(F.col("of")))
     base, bad = F.col("fails_short") | F.col("fails_repetitive"), F.col("host_rate") > max_rate
     return found.select(
         F.col("id").alias(id_col), *MEASURES, base.alias("base_failed"), bad.alias("host_failed"), (~base & ~bad).alias("kept")

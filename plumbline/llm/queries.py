@@ -15,10 +15,11 @@ from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.mixing import mix
 from plumbline.llm.pieces import encode_pieces
 from plumbline.llm.quality import judge
+from plumbline.llm.token_counts import count_after_edits, mask_edits
 from plumbline.llm.topk import top_k
 from plumbline.llm.url_filter import filter_urls
 
-PIECES = "piece_bpe_32k.model"
+PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edited = mask_edits(table(spark, sf_dir, "documents"))
+    counted = count_after_edits(edited, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return counted.withColumnRenamed("id", "doc_id").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op2_url_filters,
         op3_line_dedup,
+        op5_token_counts,
         op7_mixing,
         op8_top_k,
         op9_sentencepiece,
