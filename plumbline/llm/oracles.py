@@ -126,3 +126,18 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+JACCARD = f"""
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {FOLD}), '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT r, doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM split),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+met AS (SELECT a.r AS ra, b.r AS rb, any_value(a.doc_id) AS a, any_value(b.doc_id) AS b, count(*) AS i FROM shingles a JOIN shingles b USING (s) WHERE a.r <> b.r GROUP BY 1, 2),
+links AS (
+  SELECT DISTINCT a, b FROM met JOIN sizes x ON ra = x.r JOIN sizes y ON rb = y.r WHERE 100 * i >= 75 * (x.n + y.n - i)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM split UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM split LEFT JOIN sizes USING (r) LEFT JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""

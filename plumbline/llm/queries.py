@@ -11,6 +11,7 @@ import public_tokenizers
 
 from plumbline.llm import language, oracles
 from plumbline.llm.common import table
+from plumbline.llm.jaccard import similar_classes
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.mixing import mix
 from plumbline.llm.pieces import encode_pieces
@@ -35,6 +36,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = mask_edits(table(spark, sf_dir, "documents"))
     counted = count_after_edits(edited, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op2_url_filters,
         op3_line_dedup,
+        op4_jaccard_join,
         op5_token_counts,
         op7_mixing,
         op8_top_k,
@@ -81,6 +87,7 @@ ORACLE: dict[str, str] = {
     "op1_quality_rules": oracles.QUALITY,
     "op2_url_filters": oracles.URL_FILTERS,
     "op3_line_dedup": oracles.LINE_DEDUP,
+    "op4_jaccard_join": oracles.JACCARD,
     "op7_mixing": oracles.MIXING,
     "op8_top_k": oracles.TOP_K,
 }
