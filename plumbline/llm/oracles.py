@@ -141,3 +141,26 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM split UNION SELECT reach.a, links
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM split LEFT JOIN sizes USING (r) LEFT JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+CHAT = f"""
+WITH RECURSIVE calls AS (
+  SELECT conv_id, turn, 'call-' || turn AS call_id, CASE WHEN (turn // 2) % 2 = 0 THEN 'search' ELSE 'answer' END AS name, text,
+         len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS n_words FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+once AS (
+  SELECT conv_id, turn, call_id, name, count(*) AS n_calls, min(struct_pack(t := text, n := n_words)) AS a FROM calls GROUP BY ALL),
+answers AS (
+  SELECT conv_id, 'call-' || (turn - 1) AS call_id, min(text) AS result, count(*) AS n_results FROM conversations
+  WHERE role = 'user' AND turn > 0 GROUP BY ALL),
+levels AS (
+  SELECT conv_id, turn, 0 AS level FROM once c WHERE (turn // 2) % 4 = 0 OR NOT EXISTS (SELECT 1 FROM once p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL SELECT c.conv_id, c.turn, level + 1 FROM levels l JOIN once c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2 WHERE (c.turn // 2) % 4 <> 0),
+checked AS (
+  SELECT *, list_filter([CASE WHEN a.n < 1 THEN '$.n_words: below minimum' END, CASE WHEN name = 'search' AND a.n > 40 THEN '$.n_words: above maximum' END,
+    CASE WHEN a.t IS NULL THEN '$.query: missing' END, CASE WHEN a.t = '' THEN '$.query: too short' END], lambda x: x IS NOT NULL) AS found
+  FROM once JOIN levels USING (conv_id, turn) LEFT JOIN answers USING (conv_id, call_id))
+SELECT conv_id, turn::BIGINT AS turn, call_id, name, level, n_calls, coalesce(n_results, 0) AS n_results, len(found) = 0 AS valid,
+       array_to_string(found, '; ') AS errors,
+       '{{"arguments":{{"n_words":' || a.n || CASE WHEN a.t IS NULL THEN '' ELSE ',"query":' || to_json(a.t) END || '}},"id":"' || call_id || '","name":"' || name
+         || '","result":' || coalesce(to_json(result)::VARCHAR, 'null') || '}}' AS json
+FROM checked
+"""

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from plumbline.llm import language, oracles
-from plumbline.llm.common import table
+from plumbline.llm.common import WORD, table
 from plumbline.llm.jaccard import similar_classes
 from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.mixing import mix
 from plumbline.llm.pieces import encode_pieces
 from plumbline.llm.quality import judge
 from plumbline.llm.token_counts import count_after_edits, mask_edits
+from plumbline.llm.tool_calls import link_calls
 from plumbline.llm.topk import top_k
 from plumbline.llm.url_filter import filter_urls
 
@@ -46,6 +47,36 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumnRenamed("id", "doc_id").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 
+#: What assistant turns are taken to call, by the parity of their exchange.
+TOOLS = {
+    name: {
+        "type": "object",
+        "required": ["n_words", "query"],
+        "properties": {"n_words": {"type": "integer", "minimum": 1, "maximum": most}, "query": {"type": "string", "minLength": 1}},
+        "additionalProperties": False,
+    }
+    for name, most in (("search", 40), ("answer", 1_000_000))
+}
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every assistant turn as a call, every user turn after the first as the result of the call before it.
+
+    A call depends on the one of the exchange before, but for each fourth exchange, which starts anew.
+    """
+    talk = table(spark, sf_dir, "conversations")
+    name = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
+    exchange = F.floor(F.col("turn") / 2)
+    n_words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
+    calls = talk.where("role = 'assistant'").select(
+        "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.when(exchange % 2 == 0, "search").otherwise("answer").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("query"), n_words.alias("n_words"))).alias("arguments"),
+        F.when(exchange % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(name(F.col("turn") - 2))).alias("depends_on"),
+    )
+    results = talk.where("role = 'user' AND turn > 0").select("conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    return link_calls(calls, results, TOOLS)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -77,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_line_dedup,
         op4_jaccard_join,
         op5_token_counts,
+        op6_chat_formatting,
         op7_mixing,
         op8_top_k,
         op9_sentencepiece,
@@ -88,6 +120,7 @@ ORACLE: dict[str, str] = {
     "op2_url_filters": oracles.URL_FILTERS,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op4_jaccard_join": oracles.JACCARD,
+    "op6_chat_formatting": oracles.CHAT,
     "op7_mixing": oracles.MIXING,
     "op8_top_k": oracles.TOP_K,
 }
