@@ -14,6 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.llm.common import pack, unpack
 
@@ -117,8 +118,6 @@ def identify(docs: DataFrame, dictionaries: Mapping[str, bytes], id_col: str = "
 def accept(docs: DataFrame, dictionaries: Mapping[str, bytes], id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """The rows that are not rejected, with their columns as they are."""
     base = pack(docs, id=id_col, text=text_col)
-    fields = base.schema
-    tagged = base.mapInArrow(
-        language_tagger(dictionaries, margin), fields.add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
-    )
+    found = StructType().add("lang_pred", "string").add("score", "double").add("margin", "double").add("rejected", "boolean")
+    tagged = base.mapInArrow(language_tagger(dictionaries, margin), StructType([*base.schema.fields, *found.fields]))
     return unpack(tagged.where("NOT rejected"), docs.columns, id=id_col, text=text_col)
