@@ -50,12 +50,19 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("id")))
-    common = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id", "text")
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    if not common:
+        return {}
+    # Four times the sample passes by hash, so what is ordered does not grow with the rows or partitions.
+    reach = F.create_map(*[F.lit(x) for r in common for x in (r["lang"], min(1.0, 4 * SAMPLE_TEXTS / r["count"]))])
+    key = F.xxhash64("id", "text")
     part = F.substring("text", 1, SAMPLE_CHARS)
-    sample = rows.where(F.col("lang").isin(common)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_TEXTS)
+    near = rows.where(F.pmod(key, F.lit(1 << 30)) < reach[F.col("lang")] * float(1 << 30))
+    order = Window.partitionBy("lang").orderBy("key", "id", "part")
+    near = near.select("lang", "id", key.alias("key"), part.alias("part"))
+    sample = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_TEXTS)
     found: dict[str, list[tuple[int, str]]] = {}
-    for r in sample.select("lang", "n", part.alias("part")).collect():
+    for r in sample.select("lang", "n", "part").collect():
         found.setdefault(r["lang"], []).append((r["n"], r["part"]))
     return {lang: b" ".join(letters(t) for _, t in sorted(parts)) for lang, parts in sorted(found.items())}
 
