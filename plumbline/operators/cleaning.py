@@ -12,7 +12,7 @@ from plumbline.functions.columns import categorical_columns, clamp, numeric_colu
 from plumbline.operators.profile import iqr_bounds, outside
 from plumbline.operators.stats import moments, per_column, quantiles, value_counts
 
-NUMERIC_STRATEGIES = ("mean", "median")
+STRATEGIES = ("mean", "median", "most_frequent")
 OUTLIER_METHODS = ("iqr", "zscore")
 
 
@@ -30,6 +30,7 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 class ImputerModel:
     strategy: str
     fills: dict[str, float | str]
+    complete: tuple[str, ...] = ()  # columns without a gap when fitted: they keep their type
 
     def transform(self, df: DataFrame) -> DataFrame:
         if not self.fills:
@@ -44,7 +45,7 @@ class ImputerModel:
         )
 
     def _type(self, f) -> str:
-        return f.dataType.simpleString() if isinstance(self.fills[f.name], str) else "double"
+        return f.dataType.simpleString() if isinstance(self.fills[f.name], str) or f.name in self.complete else "double"
 
 
 @dataclass(frozen=True)
@@ -52,13 +53,17 @@ class Imputer:
     """Fill missing numbers with the mean or median and other columns with their mode.
 
     A strategy meant for categories (``most_frequent``) means the median for numbers.
-    A column without any value stays as it is.
+    A column without any value stays as it is; one without a gap is fitted too, for gaps that come later.
     """
 
     strategy: str = "median"
     columns: Sequence[str] | None = None
     accuracy: int | None = None
 
+    def __post_init__(self):
+        if self.strategy not in STRATEGIES:
+            raise ValueError(f"strategy must be one of {STRATEGIES}")
+
     def fit(self, df: DataFrame) -> ImputerModel:
         columns = list(self.columns or df.columns)
         numeric = [c for c in numeric_columns(df) if c in columns]
@@ -66,18 +71,17 @@ class Imputer:
         present = df.agg(
             *[F.count(c).alias(f"n_{c}") for c in columns], *[F.avg(c).alias(f"mean_{c}") for c in numeric], F.count("*").alias("rows")
         ).first()
-        holes = [c for c in columns if 0 < present[f"n_{c}"] < present["rows"]]
-        if not holes:
-            return ImputerModel(self.strategy, {})
+        filled = [c for c in columns if present[f"n_{c}"]]
+        complete = tuple(c for c in filled if present[f"n_{c}"] == present["rows"])
         fills: dict[str, float | str] = {}
-        gaps = [c for c in numeric if c in holes]
+        numbers = [c for c in numeric if c in filled]
         if self.strategy == "mean":
-            fills.update({c: present[f"mean_{c}"] for c in gaps})
-        elif gaps:
-            cut = quantiles(df, gaps, (0.5,), {c: present[f"n_{c}"] for c in gaps}, self.accuracy)
-            fills.update({c: cut[c][0.5] for c in gaps})
-        fills.update(modes(df, [c for c in other if c in holes]))
-        return ImputerModel(self.strategy, fills)
+            fills.update({c: present[f"mean_{c}"] for c in numbers})
+        elif numbers:
+            cut = quantiles(df, numbers, (0.5,), {c: present[f"n_{c}"] for c in numbers}, self.accuracy)
+            fills.update({c: cut[c][0.5] for c in numbers})
+        fills.update(modes(df, [c for c in other if c in filled]))
+        return ImputerModel(self.strategy, fills, complete)
 
 
 @dataclass(frozen=True)

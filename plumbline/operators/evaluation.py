@@ -61,7 +61,10 @@ def predictions(model: Regressor, frames: Mapping[str, DataFrame], ids: Sequence
 
 
 def regression_metrics(preds: DataFrame, keys: Sequence[str] = ("model", "split"), p: int = 1) -> DataFrame:
-    """The eleven metrics of every group. Error quantiles are exact and found for all groups together."""
+    """The eleven metrics of every group. Error quantiles are exact and found for all groups together.
+
+    Rows without a prediction or a label are left out: ``n`` is the number of rows that are measured.
+    """
     spark = preds.sparkSession
     held = preds.storageLevel.useMemory or preds.storageLevel.useDisk
     # Read once for the aggregates and a few times for the quantiles: kept unless the caller keeps it.
@@ -74,12 +77,13 @@ def regression_metrics(preds: DataFrame, keys: Sequence[str] = ("model", "split"
 
 
 def _metric_rows(preds: DataFrame, keys: Sequence[str], p: int) -> tuple[list[tuple], str]:
-    e, y = residual(), F.col("y_true")
+    e = residual()
+    y = F.when(e.isNotNull(), F.col("y_true"))
     wide = preds.groupBy(*keys).agg(
-        F.count("*").alias("n"),
+        F.count(e).alias("n"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.count("*") * F.var_pop(y))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.count(e) * F.var_pop(y))).alias("r2"),
         F.avg(e * e).alias("mse"),
         (F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(MACHINE_EPSILON))) * 100).alias("mape"),
         F.max(F.abs(e)).alias("max_error"),
@@ -90,7 +94,7 @@ def _metric_rows(preds: DataFrame, keys: Sequence[str], p: int) -> tuple[list[tu
     groups = {str(i): r for i, r in enumerate(rows)}
 
     position = F.lit(None).cast("int")
-    for g, r in groups.items():
+    for g, r in groups.items():  # rows without an error have no rank
         test = F.lit(True)
         for k in keys:
             test = test & F.col(k).eqNullSafe(F.lit(r[k]))
@@ -128,7 +132,7 @@ def heteroscedasticity(preds: DataFrame, keys: Sequence[str] = ("model",)) -> Da
     """Correlation of predictions with absolute residuals, its t statistic and p value."""
     spark = preds.sparkSession
     rows = []
-    measured = preds.groupBy(*keys).agg(pearson("y_pred", F.abs(residual())).alias("r"), F.count("*").alias("n"))
+    measured = preds.groupBy(*keys).agg(pearson("y_pred", F.abs(residual())).alias("r"), F.count(residual()).alias("n"))
     for row in measured.collect():  # one row per group
         r, n = row["r"], row["n"]
         known = r is not None and n > 2 and abs(r) < 1
@@ -375,7 +379,8 @@ class ModelEvaluator:
         cached = spread(preds)
         try:
             on_test = cached.filter(F.col("split") == "test")
-            residuals = residual_report(on_test, self.ids)
+            # Ids may repeat; rows that also agree in both values have equal residuals, so their order is immaterial.
+            residuals = residual_report(on_test, [*self.ids, "y_true", "y_pred"])
             result = {
                 "metrics": regression_metrics(cached),
                 "residuals": small_frame(spark, [tuple(residuals.first())], residuals.schema.simpleString()[7:-1].replace(":", " ")),

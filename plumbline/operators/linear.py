@@ -7,6 +7,7 @@ a whole cross-validated path costs one pass over the data.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -103,15 +104,19 @@ def solve(products: CrossProducts, l1: float = 0.0, l2: float = 0.0, iterations:
                 weights[j] = new
             if change < tol:
                 break
+        else:
+            warnings.warn(f"coordinate descent still moved by {change:.3g} after {iterations} sweeps", stacklevel=2)
     return LinearFit(float(label_mean - means @ weights), weights)
 
 
-def fold_rmse(parts: Mapping[int, CrossProducts], l1: float = 0.0, l2: float = 0.0, alpha: float | None = None) -> dict[int, float]:
+def fold_rmse(
+    parts: Mapping[int, CrossProducts], l1: float = 0.0, l2: float = 0.0, alpha: float | None = None, iterations: int = 10_000
+) -> dict[int, float]:
     """RMSE on every fold of the fit to the others. ``alpha`` is a ridge sum-of-squares penalty."""
     everything = total(parts)
     scores = {}
     for f, held_out in sorted(parts.items()):
         rest = everything - held_out
-        fit = solve(rest, l1, l2 if alpha is None else alpha / rest.n)
+        fit = solve(rest, l1, l2 if alpha is None else alpha / rest.n, iterations)
         scores[f] = float(np.sqrt(held_out.sse(fit) / held_out.n))
     return scores

@@ -4,7 +4,7 @@ A small training side (checked by count) is broadcast and queries are answered i
 place. A larger one is cut into leaves of a k-d partition. Every distinct query
 vector is first answered in its own leaf, then sent only to the leaves that can
 still hold something nearer; each (query, leaf) meeting returns at most ``k`` rows.
-Ties in distance go to the smaller label, so results do not depend on row order.
+Ties in distance go to the smaller hash of the rows' ids: results depend neither on row order nor on labels.
 """
 
 from __future__ import annotations
@@ -24,26 +24,42 @@ from plumbline.session import scratch_path, small_frame
 CHUNK_CELLS = 4_000_000  # distances held at once
 
 
-def nearest(queries: np.ndarray, points: np.ndarray, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances and labels of the k nearest points; ``points`` come sorted by label."""
+def powers(difference: np.ndarray, p: float) -> np.ndarray:
+    return np.square(difference) if p == 2 else np.abs(difference) ** p
+
+
+def nearest(queries: np.ndarray, points: np.ndarray, k: int, p: float = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Distances (to the power ``p``) and positions of the k nearest points; ``points`` come in the order of ties."""
     k = min(k, len(points))
+    distance, found = np.empty((len(queries), k)), np.empty((len(queries), k), dtype=np.int64)
     if k == 0:
-        return np.empty((len(queries), 0)), np.empty((len(queries), 0))
-    distance = np.empty((len(queries), k))
-    label = np.empty((len(queries), k))
+        return distance, found
     step = max(1, CHUNK_CELLS // max(1, len(points)))
     for start in range(0, len(queries), step):
         block = queries[start : start + step]
         d2 = np.zeros((len(block), len(points)))
         for j in range(points.shape[1]):
-            d2 += np.square(block[:, j : j + 1] - points[None, :, j])
+            d2 += powers(block[:, j : j + 1] - points[None, :, j], p)
         order = np.argpartition(d2, k - 1, axis=1)[:, :k]
         furthest = np.take_along_axis(d2, order, axis=1).max(axis=1)
         tied = np.flatnonzero((d2 <= furthest[:, None]).sum(axis=1) > k)
         order[tied] = np.argsort(d2[tied], axis=1, kind="stable")[:, :k]
         distance[start : start + step] = np.take_along_axis(d2, order, axis=1)
-        label[start : start + step] = labels[order]
-    return distance, label
+        found[start : start + step] = order
+    return distance, found
+
+
+def averaged(distance: np.ndarray, labels: np.ndarray, weights: str, p: float) -> np.ndarray:
+    """The prediction of each row of neighbours: plain, or by inverse distance (equal vectors alone, if there are any)."""
+    if not labels.shape[1]:
+        return np.full(len(labels), np.nan)
+    if weights == "uniform":
+        return labels.mean(axis=1)
+    with np.errstate(divide="ignore"):
+        share = 1.0 / distance ** (1 / p)
+    equal = np.isinf(share).any(axis=1)
+    share[equal] = np.isinf(share[equal])
+    return (share * labels).sum(axis=1) / share.sum(axis=1)
 
 
 @dataclass
@@ -112,7 +128,7 @@ class Partition:
                 lows[node], highs[node] = lows[below].min(axis=0), highs[below].max(axis=0)
         return lows, highs
 
-    def reach(self, points: np.ndarray, radius2: np.ndarray, own: np.ndarray, lows, highs) -> tuple[np.ndarray, np.ndarray]:
+    def reach(self, points: np.ndarray, radius2: np.ndarray, own: np.ndarray, lows, highs, p: float = 2) -> tuple[np.ndarray, np.ndarray]:
         """(query, leaf) pairs for the other leaves that the ball of each query touches."""
         rows_out, leaf_out = [], []
         stack = [(0, np.arange(len(points)))]
@@ -121,7 +137,7 @@ class Partition:
             if not np.all(lows[node] <= highs[node]):
                 continue
             gap = np.maximum(0.0, np.maximum(lows[node] - points[rows], points[rows] - highs[node]))
-            rows = rows[np.square(gap).sum(axis=1) <= radius2[rows]]
+            rows = rows[powers(gap, p).sum(axis=1) <= radius2[rows]]
             if not len(rows):
                 continue
             if self.leaf[node] >= 0:
@@ -140,19 +156,29 @@ class NearestNeighbors:
     k: int
     features: Sequence[str]
     label: str
-    ids: Sequence[str] = ()
+    ids: Sequence[str]
+    weights: str = "uniform"
+    p: float = 2
     broadcast_rows: int = 10_000
     leaf_rows: int = 512
     sample_rows: int = 100_000
     queries_per_group: int = 50_000
 
+    def __post_init__(self):
+        if not self.ids:
+            raise ValueError("the rows' ids are needed to break ties")
+        if self.weights not in ("uniform", "distance") or self.p < 1:
+            raise ValueError("weights must be uniform or distance, p at least 1")
+
     def fit(self, df: DataFrame) -> "NeighborModel":
         names = [f"x{i}" for i in range(len(self.features))]
         points = df.select(
-            *[F.col(f).cast("double").alias(n) for f, n in zip(self.features, names)], F.col(self.label).cast("double").alias("label")
+            *[F.col(f).cast("double").alias(n) for f, n in zip(self.features, names)],
+            F.col(self.label).cast("double").alias("label"),
+            row_key(*self.ids).cast("double").alias("tie"),
         ).dropna()
-        # Of equal vectors only the k smallest labels can ever be used.
-        rank = F.row_number().over(Window.partitionBy(*names).orderBy("label"))
+        # Of equal vectors only the k first in the order of ties can ever be used.
+        rank = F.row_number().over(Window.partitionBy(*names).orderBy("tie", "label"))
         points = points.withColumn("copy", rank).filter(F.col("copy") <= self.k)
         stored = scratch_path(df.sparkSession, "neighbors")
         points.write.parquet(stored)
@@ -165,7 +191,7 @@ class NearestNeighbors:
         sample = points.filter(in_sample).select(*names).toPandas().to_numpy()  # about sample_rows rows
         partition = Partition.build(sample, max(8.0, self.leaf_rows * share))
         placed = points.mapInPandas(
-            _placer(partition, names), ", ".join(f"{n} double" for n in names) + ", label double, leaf int"
+            _placer(partition, names), ", ".join(f"{n} double" for n in names) + ", label double, tie double, leaf int"
         )
         leaves = scratch_path(df.sparkSession, "neighbor-leaves")
         placed.repartition("leaf").write.parquet(leaves)
@@ -180,7 +206,7 @@ class NearestNeighbors:
 def _placer(partition: Partition, names: Sequence[str]):
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch[[*names, "label"]].copy()
+            out = batch[[*names, "label", "tie"]].copy()
             out["leaf"] = partition.assign(batch[list(names)].to_numpy(dtype=float))
             yield out
 
@@ -211,21 +237,21 @@ class NeighborModel:
         return keyed.join(answers, keys, "left").drop(*keys)
 
     def _broadcast(self, vectors: DataFrame, names: list[str]) -> DataFrame:
-        table = self.points.select(*names, "label").toPandas().sort_values("label", kind="stable")  # n <= broadcast_rows
+        table = self.points.select(*names, "label", "tie").toPandas().sort_values(["tie", "label"], kind="stable")  # n <= broadcast_rows
         shared = vectors.sparkSession.sparkContext.broadcast((table[names].to_numpy(), table["label"].to_numpy()))
-        k = self.config.k
+        k, weights, p = self.config.k, self.config.weights, self.config.p
 
         def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             points, labels = shared.value
             for batch in batches:
-                _, found = nearest(batch[names].to_numpy(dtype=float), points, labels, k)
-                yield batch.assign(prediction=found.mean(axis=1) if found.shape[1] else np.nan)
+                distance, found = nearest(batch[names].to_numpy(dtype=float), points, k, p)
+                yield batch.assign(prediction=averaged(distance, labels[found], weights, p))
 
         return vectors.mapInPandas(answer, ", ".join(f"{n} double" for n in names) + ", prediction double")
 
     def _partitioned(self, vectors: DataFrame, names: list[str]) -> DataFrame:
         spark = vectors.sparkSession
-        partition, low, high, k = self.partition, self.low, self.high, self.config.k
+        partition, low, high, k, p = self.partition, self.low, self.high, self.config.k, self.config.p
         vector_ddl = ", ".join(f"{n} double" for n in names)
 
         def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,7 +267,7 @@ class NeighborModel:
             for batch in batches:
                 points = batch[names].to_numpy(dtype=float)
                 rows, leaves = partition.reach(
-                    points, batch["radius"].to_numpy(dtype=float), batch["leaf"].to_numpy(), low, high
+                    points, batch["radius"].to_numpy(dtype=float), batch["leaf"].to_numpy(), low, high, p
                 )
                 out = batch[names].iloc[rows].copy()
                 out["leaf"] = leaves
@@ -254,17 +280,17 @@ class NeighborModel:
         empty = vectors.mapInPandas(home, f"{vector_ddl}, leaf int").join(radius, [*names, "leaf"], "left")
         probes = empty.withColumn("radius", F.coalesce("radius", F.lit(math.inf))).mapInPandas(probe, f"{vector_ddl}, leaf int")
         found = first.unionByName(self._meet(probes, names))
-        order = Window.partitionBy(*names).orderBy("distance", "label")
-        return (
-            found.withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= k)
-            .groupBy(*names)
-            .agg(F.avg("label").alias("prediction"))
-        )
+        order = Window.partitionBy(*names).orderBy("distance", "tie", "label")
+        best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        if self.config.weights == "uniform":
+            return best.groupBy(*names).agg(F.avg("label").alias("prediction"))
+        share = F.try_divide(F.lit(1.0), F.pow("distance", F.lit(1.0 / p)))
+        near = F.avg(F.when(F.col("distance") == 0, F.col("label")))
+        return best.groupBy(*names).agg(F.coalesce(near, F.sum(share * F.col("label")) / F.sum(share)).alias("prediction"))
 
     def _meet(self, queries: DataFrame, names: list[str]) -> DataFrame:
         """The k nearest points of each (query, leaf); leaves with many queries are met in several groups."""
-        spark, k = queries.sparkSession, self.config.k
+        spark, k, p = queries.sparkSession, self.config.k, self.config.p
         load = queries.groupBy("leaf").count().collect()  # one row per leaf
         groups = small_frame(
             spark,
@@ -277,17 +303,18 @@ class NeighborModel:
         held = self.points.join(F.broadcast(groups), "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
         def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            right = right.sort_values("label", kind="stable")
+            right = right.sort_values(["tie", "label"], kind="stable")
             if not len(left) or not len(right):
-                return pd.DataFrame(columns=[*names, "leaf", "distance", "label"])
-            distance, label = nearest(left[names].to_numpy(), right[names].to_numpy(), right["label"].to_numpy(), k)
+                return pd.DataFrame(columns=[*names, "leaf", "distance", "tie", "label"])
+            distance, at = nearest(left[names].to_numpy(), right[names].to_numpy(), k, p)
             width = distance.shape[1]
             out = left[[*names, "leaf"]].loc[left.index.repeat(width)].reset_index(drop=True)
-            return out.assign(distance=distance.ravel(), label=label.ravel())
+            at = at.ravel()
+            return out.assign(distance=distance.ravel(), tie=right["tie"].to_numpy()[at], label=right["label"].to_numpy()[at])
 
         return (
             asked.select(*names, "leaf", "part")
             .groupBy("leaf", "part")
-            .cogroup(held.select(*names, "label", "leaf", "part").groupBy("leaf", "part"))
-            .applyInPandas(meet, ", ".join(f"{n} double" for n in names) + ", leaf int, distance double, label double")
+            .cogroup(held.select(*names, "label", "tie", "leaf", "part").groupBy("leaf", "part"))
+            .applyInPandas(meet, ", ".join(f"{n} double" for n in names) + ", leaf int, distance double, tie double, label double")
         )

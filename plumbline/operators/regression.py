@@ -85,11 +85,18 @@ def make_elastic_net(params, ctx):
     return _linear(params, ctx, l1 + l2, l1 / (l1 + l2) if l1 + l2 else 0.0)
 
 
+def tree_depth(asked: int | None) -> int:
+    """None asks for the deepest tree Spark grows; more than that cannot be had."""
+    if asked is not None and not 0 <= asked <= MAX_DEPTH:
+        raise ValueError(f"max_depth must be None or from 0 to {MAX_DEPTH}")
+    return MAX_DEPTH if asked is None else asked
+
+
 def _tree_params(params, ctx) -> dict[str, Any]:
     return {
         "featuresCol": FEATURES,
         "labelCol": ctx.label,
-        "maxDepth": min(MAX_DEPTH, params.get("max_depth") or MAX_DEPTH),
+        "maxDepth": tree_depth(params.get("max_depth")),
         "minInstancesPerNode": params.get("min_samples_leaf", 1),
         "maxBins": params.get("max_bins", 64),
         "seed": ctx.seed,
@@ -141,7 +148,7 @@ def make_kernel(params, ctx):
     return Pipeline(
         stages=[
             SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
-            VectorAssembler(inputCols=kernel_features, outputCol="__kernel"),
+            VectorAssembler(inputCols=kernel_features, outputCol="__kernel", handleInvalid="keep"),
             SQLTransformer(
                 statement="SELECT * EXCEPT (" + ", ".join(kernel_features) + ") FROM __THIS__"
             ),
@@ -158,7 +165,10 @@ def make_kernel(params, ctx):
 
 
 def make_neighbors(params, ctx):
-    return NearestNeighbors(k=params["n_neighbors"], features=ctx.features, label=ctx.label, ids=ctx.ids)
+    return NearestNeighbors(
+        k=params["n_neighbors"], features=ctx.features, label=ctx.label, ids=ctx.ids,
+        weights=params.get("weights", "uniform"), p=params.get("p", 2),
+    )
 
 
 FACTORIES: dict[str, Callable[[Mapping, FitContext], Any]] = {
@@ -185,9 +195,14 @@ class Regressor:
     label: str
 
     def transform(self, df: DataFrame, column: str = PREDICTION) -> DataFrame:
+        """Adds the prediction: NULL for a row that lacks a feature, whatever the model."""
         if not isinstance(self.model, (NeighborModel, PipelineModel)):
-            df = VectorAssembler(inputCols=self.features, outputCol=FEATURES).transform(df)
+            df = VectorAssembler(inputCols=self.features, outputCol=FEATURES, handleInvalid="keep").transform(df)
         df = self.model.transform(df).drop(FEATURES, "__kernel")
+        complete = F.lit(True)
+        for f in self.features:
+            complete = complete & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+        df = df.withColumn(PREDICTION, F.when(complete, F.col(PREDICTION)))
         return df if column == PREDICTION else df.withColumnRenamed(PREDICTION, column)
 
     def importance(self) -> tuple[str, dict[str, float]] | None:
@@ -204,7 +219,8 @@ class Regressor:
 
 
 def fit_context(df: DataFrame, features: Sequence[str], label: str, ids: Sequence[str] = (), seed: int = 42) -> FitContext:
-    s = moments(df, [*features, label])
+    """Sizes and deviations of the complete rows, which are those a fit uses."""
+    s = moments(df.dropna(subset=[*features, label]), [*features, label])
     variances = tuple((s[f].std_pop or 0.0) ** 2 for f in features)
     return FitContext(label, list(features), s[label].count, s[label].std_pop or 0.0, seed, variances, tuple(ids))
 
@@ -297,13 +313,14 @@ def cross_validate(
 
 
 def cv_linear(name: str, params: Mapping, parts) -> list[float]:
+    sweeps = params.get("max_iter", 10_000)
     if name == "ridge":
         scores = fold_rmse(parts, alpha=params["alpha"])
     elif name == "lasso":
-        scores = fold_rmse(parts, l1=params["alpha"])
+        scores = fold_rmse(parts, l1=params["alpha"], iterations=sweeps)
     elif name == "elastic_net":
         ratio = params["l1_ratio"]
-        scores = fold_rmse(parts, l1=params["alpha"] * ratio, l2=params["alpha"] * (1 - ratio))
+        scores = fold_rmse(parts, l1=params["alpha"] * ratio, l2=params["alpha"] * (1 - ratio), iterations=sweeps)
     else:
         scores = fold_rmse(parts)
     return list(scores.values())

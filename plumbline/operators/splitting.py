@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import KEY_SPACE, col, fraction_threshold, row_key
+from plumbline.functions.columns import KEY_SPACE, fraction_threshold, row_key
 from plumbline.operators.stats import moments, order_statistics
 
 
@@ -25,7 +25,7 @@ def _cut(df: DataFrame, group: Column, sizes: Sequence[int], wanted: Sequence[in
     """The ``wanted[g]`` rows with the smallest (key, id) of every group ``g``, as one filter expression.
 
     The key of the last wanted row is an exact order statistic. Rows that share that
-    key are told apart by their first id, again by an order statistic over just them.
+    key are told apart by a second key of all their ids, whatever the ids' types.
     """
     key = row_key(*ids, seed=seed)
     names = [str(g) for g in range(len(sizes))]
@@ -44,9 +44,9 @@ def _cut(df: DataFrame, group: Column, sizes: Sequence[int], wanted: Sequence[in
         g, need = r["g"], wanted[r["g"]] - r["less"]
         if wanted[g] and need < r["equal"]:
             tied = (group == g) & (key == F.lit(cuts[g]))
-            first_id = F.when(tied, col(ids[0]).cast("double"))
-            edge = order_statistics(df, {"id": first_id}, {"id": [need - 1]}, {"id": r["equal"]})["id", need - 1]
-            chosen = chosen & ~(tied & (col(ids[0]) > F.lit(edge)))
+            second = row_key(*ids, seed=seed + 1)
+            edge = order_statistics(df, {"id": F.when(tied, second)}, {"id": [need - 1]}, {"id": r["equal"]})["id", need - 1]
+            chosen = chosen & ~(tied & (second > F.lit(edge)))
     return chosen
 
 

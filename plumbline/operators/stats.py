@@ -13,10 +13,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import ROUND_FLOOR, Decimal
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 from pyspark.storagelevel import StorageLevel
 
 # Rows that one bracket may hold when they are gathered into one array.
@@ -130,7 +131,7 @@ def order_statistics(
 ) -> dict[tuple[str, int], float]:
     """Exact values at 0-based ``ranks`` among the non-null ``values`` of each name.
 
-    Values must be numbers that a double holds exactly. With ``group``, all names
+    Values are compared in their own type; NaN counts as the largest. With ``group``, all names
     share one value expression and a row belongs to the name at its group's position,
     which saves an unpivot. Each round costs two scans
     of the needed columns and divides the rows in question by about 500.
@@ -146,7 +147,7 @@ def order_statistics(
     ]
     while wide := [s for s in searches if s.found is None and s.inside > gather_limit]:
         proposals = _propose(base, wide, accuracy)
-        tallies = _counts(_grouped_buckets(base, proposals) if disjoint else _buckets(base, proposals), proposals)
+        tallies = _counts(base, proposals, disjoint)
         for s in wide:
             for candidate in proposals[s.value]:
                 s.narrow(candidate, *tallies[(s.value, candidate)])
@@ -162,66 +163,49 @@ def _brackets(searches: Sequence[_Search]) -> list[list[_Search]]:
 
 
 def _propose(base: DataFrame, searches: Sequence[_Search], accuracy: int) -> dict[int, list[float]]:
-    """Two values around every wanted rank, from one sketch per bracket."""
+    """Two values around every wanted rank, from one sketch per bracket.
+
+    Sketches hold doubles. Whole and decimal numbers are sketched by their distance from a bound of
+    the bracket, and a bracket with two bounds also proposes its middle, so that it always shrinks.
+    """
     slack = 2.0 / accuracy
     groups = _brackets(searches)
-    sketches = []
+    sketches, anchors, steps = [], [], []
     for group in groups:
+        s = group[0]
         shares = [(s.rank - s.below) / max(1, s.inside - 1) for s in group]
         probes = sorted({max(0.0, x - slack) for x in shares} | {min(1.0, x + slack) for x in shares})
-        sketches.append(F.percentile_approx(group[0].member(), probes, accuracy))
+        kind = base.schema["v" if s.disjoint else f"v{s.value}"].dataType
+        step = Decimal(1).scaleb(-kind.scale) if isinstance(kind, DecimalType) else 1 if isinstance(kind, IntegralType) else None
+        anchor = next((Decimal(x) for x in (s.low, s.high) if x is not None), Decimal(0)) if step else None
+        member = s.member()
+        if step:
+            member = (member.cast(f"decimal(38,{kind.scale if step != 1 else 0})") - F.lit(anchor)).cast("double")
+        sketches.append(F.percentile_approx(member, probes, accuracy))
+        anchors.append(anchor)
+        steps.append(step)
     row = base.agg(*[sketch.alias(f"s{i}") for i, sketch in enumerate(sketches)]).first()
     proposals: dict[int, set[float]] = {}
-    for i, group in enumerate(groups):
-        proposals.setdefault(group[0].value, set()).update(row[i])
+    for values, anchor, step, group in zip(row, anchors, steps, groups):
+        s = group[0]
+        if step:
+            values = [anchor + (Decimal(x) / step).to_integral_value() * step for x in values]
+            if s.low is not None and s.high is not None:
+                values.append(((Decimal(s.low) + Decimal(s.high)) / 2 / step).to_integral_value(ROUND_FLOOR) * step)
+            values = [int(x) for x in values] if step == 1 else values
+        proposals.setdefault(s.value, set()).update(values)
     return {v: sorted(candidates) for v, candidates in proposals.items()}
 
 
-def _buckets(base: DataFrame, proposals: Mapping[int, list[float]]) -> DataFrame:
-    """(v, bucket, at_edge) of every value among its proposed edges: a row per column."""
-    used = sorted(proposals)
-    bucketed = Bucketizer(
-        inputCols=[f"v{v}" for v in used],
-        outputCols=[f"b{v}" for v in used],
-        splitsArray=[[-math.inf, *map(float, proposals[v]), math.inf] for v in used],
-        handleInvalid="keep",
-    ).transform(base)
-    rows = []
-    for v in used:
-        bucket = F.col(f"b{v}").cast("int")
-        edges = F.array(*[F.lit(e) for e in proposals[v]])
-        at_edge = F.coalesce(F.col(f"v{v}") == F.get(edges, bucket - 1), F.lit(False))
-        bucket = F.when(F.col(f"v{v}").isNotNull(), bucket)
-        rows.append(F.struct(F.lit(v).alias("v"), bucket.alias("bucket"), at_edge.alias("at_edge")))
-    return bucketed.select(F.inline(F.array(*rows))).filter("bucket IS NOT NULL")
-
-
-def _grouped_buckets(base: DataFrame, proposals: Mapping[int, list[float]]) -> DataFrame:
-    """The same for values split by group: every row is placed among the edges of its own group."""
-    nothing = F.array().cast("array<double>")
-    by_group = [
-        F.array(*[F.lit(float(e)) for e in proposals[v]]) if v in proposals else nothing for v in range(max(proposals) + 1)
-    ]
-    edges = F.get(F.array(*by_group), F.col("g"))
-    placed = base.select(F.col("g"), F.col("v").cast("double").alias("x"), edges.alias("edges")).filter(F.size("edges") > 0)
-    return placed.select(
-        F.col("g").alias("v"),
-        F.size(F.filter("edges", lambda e: e <= F.col("x"))).alias("bucket"),
-        F.array_contains("edges", F.col("x")).alias("at_edge"),
-    )
-
-
-def _counts(buckets: DataFrame, proposals: Mapping[int, list[float]]) -> dict[tuple[int, float], tuple[int, int]]:
-    """Exact numbers of rows below and equal to every proposed value, in one pass."""
-    counted = buckets.groupBy("v", "bucket", "at_edge").count().collect()  # two rows per proposed value
-    result = {}
-    for v, edges in proposals.items():
-        mine = [r for r in counted if r["v"] == v]
-        for i, edge in enumerate(edges, start=1):
-            less = sum(r["count"] for r in mine if r["bucket"] < i)
-            equal = sum(r["count"] for r in mine if r["bucket"] == i and r["at_edge"])
-            result[(v, edge)] = (less, equal)
-    return result
+def _counts(base: DataFrame, proposals: Mapping[int, list[float]], disjoint: bool) -> dict[tuple[int, float], tuple[int, int]]:
+    """Exact numbers of rows below and equal to every proposed value: one aggregate, compared in the column's own type."""
+    asked = [(v, edge) for v, edges in proposals.items() for edge in edges]
+    tallies = []
+    for v, edge in asked:
+        value, mine = (F.col("v"), F.col("g") == v) if disjoint else (F.col(f"v{v}"), F.lit(True))
+        tallies += [F.count_if(mine & (value < F.lit(edge))), F.count_if(mine & (value == F.lit(edge)))]
+    row = base.agg(*[t.alias(f"c{i}") for i, t in enumerate(tallies)]).first()
+    return {key: (row[2 * i], row[2 * i + 1]) for i, key in enumerate(asked)}
 
 
 def _gather(base: DataFrame, searches: Sequence[_Search]) -> None:
@@ -274,8 +258,10 @@ def quantiles(
         if not counts[name]:
             return None
         position = positions[name][p]
-        low, high = float(found[name, math.floor(position)]), float(found[name, math.ceil(position)])
-        return low + (high - low) * (position - math.floor(position))
+        low, high = found[name, math.floor(position)], found[name, math.ceil(position)]
+        if low == high:  # also infinities, whose difference is no number
+            return float(low)
+        return float(low) + float(high - low) * (position - math.floor(position))
 
     return {n: {p: value(n, p) for p in probs} for n in names}
 

@@ -112,7 +112,7 @@ for _key, _name in {
 @registry.add(
     "ml_knn",
     f"""WITH p AS (SELECT p_partkey, p_size::DOUBLE AS a, p_retailprice / 10 AS b, (p_partkey % 13)::DOUBLE AS y, {sql_key("p_partkey")} < {TEST_KEYS} AS is_test FROM part),
-    near AS (SELECT q.p_partkey, t.y, row_number() OVER (PARTITION BY q.p_partkey ORDER BY (q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b), t.y) AS k
+    near AS (SELECT q.p_partkey, t.y, row_number() OVER (PARTITION BY q.p_partkey ORDER BY (q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b), {sql_key("t.p_partkey")}) AS k
              FROM p q, p t WHERE q.is_test AND NOT t.is_test)
     SELECT p_partkey, round(avg(y), 6) AS prediction FROM near WHERE k <= 5 GROUP BY p_partkey""",
 )
@@ -124,7 +124,7 @@ def _(spark, d):
         (F.col("p_partkey") % 13).cast("double").alias("y"),
     )
     is_test = test_flag(["p_partkey"])
-    model = NearestNeighbors(5, ["a", "b"], "y").fit(parts.filter(~is_test))
+    model = NearestNeighbors(5, ["a", "b"], "y", ["p_partkey"]).fit(parts.filter(~is_test))
     return rounded(model.transform(parts.filter(is_test)).select("p_partkey", "prediction"))
 
 
@@ -254,12 +254,13 @@ def _(spark, d):
     return rounded(small_frame(spark, list(scores.items()), "feature string, importance double"), 5)
 
 
-# Penalised one-feature fits for every setting and fold, in closed form.
+# Penalised one-feature fits for every setting and fold, in closed form (which no number of sweeps changes).
+LASSO_ALPHAS = [a for a in tuning.GRIDS["lasso"]["alpha"] for _ in tuning.GRIDS["lasso"]["max_iter"]]
 GRID_SQL = f"""f AS (SELECT DISTINCT fold AS held FROM s),
 m AS (SELECT held, covar_pop(l_quantity, label) AS c, var_pop(l_quantity) AS v, count(*) AS n, avg(l_quantity) AS mx, avg(label) AS my
       FROM s, f WHERE fold <> held GROUP BY held),
 setting AS (SELECT 'ridge' AS model, unnest(range(5)) AS trial, unnest({tuning.GRIDS["ridge"]["alpha"]!r}::DOUBLE[]) AS alpha
-  UNION ALL SELECT 'lasso', unnest(range(6)), unnest({tuning.GRIDS["lasso"]["alpha"]!r}::DOUBLE[])),
+  UNION ALL SELECT 'lasso', unnest(range({len(LASSO_ALPHAS)})), unnest({LASSO_ALPHAS!r}::DOUBLE[])),
 fit AS (SELECT model, trial, alpha, held, mx, my, CASE WHEN model = 'ridge' THEN c / (v + alpha / n)
                ELSE sign(c) * greatest(abs(c) - alpha, 0) / v END AS w FROM m, setting),
 score AS (SELECT model, trial, alpha, held AS fold, avg(pow(label - my - w * (l_quantity - mx), 2)) AS mse

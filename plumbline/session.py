@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -15,19 +16,23 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 def get_spark(app: str = "plumbline", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session with the settings the library is tested with.
 
-    On a cluster, pass the session that the cluster made: nothing in the library
-    depends on these settings except adaptive execution (on by default in Spark).
+    A master that spark-submit gave is kept, with whatever else it set: nothing in the
+    library depends on these settings except adaptive execution (on by default in Spark).
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .master(f"local[{cores}]")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
-    )
+    given, local = SparkConf(), {"spark.master": f"local[{cores}]"}
+    if not given.contains("spark.master"):
+        local |= {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "16g",
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        }
+    local |= {"spark.sql.adaptive.enabled": "true", "spark.sql.session.timeZone": "UTC"}
+    builder = SparkSession.builder.appName(app)
+    for key, value in local.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()

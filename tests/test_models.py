@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -140,7 +141,7 @@ def test_models_stored_and_loaded(spark, data, tmp_path):
     assert set(artifacts.load_all(spark, manifest)) == {"ridge", "random_forest", "gradient_boosting", "svr"}
 
 
-@pytest.mark.parametrize("config", [{}, {"broadcast_rows": 5, "leaf_rows": 16}, {"broadcast_rows": 5, "leaf_rows": 16, "queries_per_group": 7}])
+@pytest.mark.parametrize("config", [{}, {"broadcast_rows": 5, "leaf_rows": 16}, {"broadcast_rows": 5, "leaf_rows": 16, "queries_per_group": 7}, {"weights": "distance", "p": 1}, {"broadcast_rows": 5, "leaf_rows": 16, "weights": "distance", "p": 1}])
 def test_neighbours_match_brute_force(spark, config):
     rng = np.random.default_rng(5)
     points = np.round(rng.normal(size=(300, 2)), 1)
@@ -149,11 +150,42 @@ def test_neighbours_match_brute_force(spark, config):
     asked = np.vstack([np.round(rng.normal(size=(60, 2)), 1), points[:20], [[50.0, 50.0]]])
     train = spark.createDataFrame([(i, *map(float, p), float(v)) for i, (p, v) in enumerate(zip(points, labels))], "id int, a double, b double, y double")
     queries = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(asked)], "id int, a double, b double")
-    got = NearestNeighbors(5, ["a", "b"], "y", **config).fit(train).transform(queries).orderBy("id").collect()
+    got = NearestNeighbors(5, ["a", "b"], "y", ["id"], **config).fit(train).transform(queries).orderBy("id").collect()
     assert len(got) == len(asked)
+    ties = [int(hashlib.md5(f"{i}|42".encode()).hexdigest()[:13], 16) for i in range(300)]
+    p, by_distance = config.get("p", 2), config.get("weights") == "distance"
     for row, q in zip(got, asked):
-        d2 = np.square(q[0] - points[:, 0]) + np.square(q[1] - points[:, 1])
-        assert row["prediction"] == pytest.approx(labels[np.lexsort((labels, d2))[:5]].mean())
+        d = (np.abs(q - points) ** p).sum(axis=1)
+        near = np.lexsort((ties, d))[:5]
+        with np.errstate(divide="ignore"):
+            share = 1 / d[near] ** (1 / p) if by_distance else np.ones(5)
+        share = np.isinf(share).astype(float) if np.isinf(share).any() else share
+        assert row["prediction"] == pytest.approx((labels[near] * share).sum() / share.sum())
+
+
+def test_equal_vectors_are_not_biased_to_small_labels(spark):
+    train = spark.createDataFrame([(i, 1.0, float(i)) for i in range(1000)], "id int, a double, y double")
+    got = NearestNeighbors(200, ["a"], "y", ["id"]).fit(train).transform(train.limit(1).select("a")).first()["prediction"]
+    assert abs(got - 499.5) < 80
+
+
+def test_incomplete_rows_have_no_prediction_and_no_metric(spark, data):
+    ctx = fit_context(data, FEATURES, "y", ["row_id"])
+    holed = data.withColumn(FEATURES[0], F.when(F.col("row_id") % 5 == 0, None).otherwise(F.col(FEATURES[0])))
+    gaps = holed.filter(F.col(FEATURES[0]).isNull()).count()
+    assert fit_context(holed, FEATURES, "y").n == data.count() - gaps
+    for name, params in (("ridge", {}), ("decision_tree", {"max_depth": 3}), ("svr", {"components": 8}), ("knn", {})):
+        model = fit_regressor(name, {**DEFAULTS[name], **params}, data, ctx)
+        scored = model.transform(holed)
+        assert scored.filter("prediction IS NULL").count() == gaps, name
+        preds = evaluation.predictions(model, {"test": holed}, ["row_id"])
+        assert evaluation.regression_metrics(preds).first()["n"] == data.count() - gaps
+
+
+def test_depth_that_cannot_be_had_is_refused():
+    assert regression.tree_depth(None) == 30 and regression.tree_depth(0) == 0
+    with pytest.raises(ValueError):
+        regression.tree_depth(31)
 
 
 def hand_predictions(spark):

@@ -48,7 +48,10 @@ def test_imputation_leaves_no_gap(spark, strategy):
 
 def test_imputation_edge_cases(spark):
     full = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
-    assert Imputer().fit(full).fills == {} and Imputer().fit(full).transform(full) is full
+    model = Imputer().fit(full)
+    assert model.transform(full).dtypes == full.dtypes and model.transform(full).exceptAll(full).isEmpty()
+    with pytest.raises(ValueError):
+        Imputer("meen")
     empty = spark.createDataFrame([(1.0, None), (None, None)], "a double, b double")
     got = Imputer().fit(empty).transform(empty).collect()
     assert [r["a"] for r in got] == [1.0, 1.0] and [r["b"] for r in got] == [None, None]

@@ -122,3 +122,17 @@ def test_top_columns_without_label(spark):
     df = spark.createDataFrame([tuple(float(i) for i in range(10))], ", ".join(f"c{i} double" for i in range(10)))
     rows = explore.top_correlated(df, None, 8).orderBy("rank").collect()
     assert [r["feature"] for r in rows] == [f"c{i}" for i in range(8)]
+
+
+def test_nan_infinity_and_large_integers(spark):
+    odd = [float("nan")] * 40 + [float("inf")] * 30 + [float("-inf")] * 30
+    rows = [(2**60 + i, odd[i] if i < 100 else float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "big long, x double").repartition(5)
+    counts = {"big": 3000, "x": 3000}
+    ranks = {"big": [0, 7, 1500, 2999], "x": [0, 29, 30, 1499, 2930, 2960, 2999]}
+    for limit in (50, 20_000):
+        got = order_statistics(df, {n: F.col(n) for n in counts}, ranks, counts, gather_limit=limit, accuracy=100)
+        assert [got["big", r] for r in ranks["big"]] == [2**60 + r for r in ranks["big"]]
+        want = sorted((v for _, v in rows), key=lambda v: (v != v, v))
+        assert repr([got["x", r] for r in ranks["x"]]) == repr([want[r] for r in ranks["x"]])
+    assert quantiles(df, ["x"], (0.0, 0.999), counts)["x"][0.0] == float("-inf")
