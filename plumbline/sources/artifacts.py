@@ -99,9 +99,10 @@ def load_all(spark: SparkSession, manifest_path: str) -> dict[str, Regressor]:
 
 
 def missing_artifacts(spark: SparkSession, manifest: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Required models that the manifest does not list."""
-    wanted = small_frame(spark, [(name,) for name in required], "model string")
-    return wanted.join(manifest.select("model"), "model", "left_anti")
+    """Required models that the manifest does not list, or whose files are not where it says."""
+    listed = {r["model"]: r["path"] for r in manifest.select("model", "path").collect()}  # one row per model
+    gone = [(name,) for name in required if name not in listed or not path_exists(spark, listed[name])]
+    return small_frame(spark, gone, "model string")
 
 
 def ensure_artifacts(spark: SparkSession, manifest_path: str, required: Sequence[str], retrain: Callable[[], None]) -> bool:
