@@ -12,6 +12,8 @@ from plumbline.session import scratch_path
 #: ASCII white space; everything between is a word.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Narrow rows that a partition holds at least, where their number is known.
+PARTITION_ROWS = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,8 +59,13 @@ def lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a checkpoint in the shared folder of ``spark.checkpoint.dir``."""
+def settle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cuts lineage with a checkpoint in the shared folder of ``spark.checkpoint.dir``.
+
+    Where about how many rows there are is known, they go into no more partitions than these need.
+    """
+    if rows is not None:
+        df = df.coalesce(1 + rows // PARTITION_ROWS)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
@@ -69,8 +76,8 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def ready_side(side: DataFrame, most_rows: int) -> DataFrame:
+def ready_side(side: DataFrame, most_rows: int, rows: int | None = None) -> DataFrame:
     """A side of a join, settled and counted: broadcast up to ``most_rows`` rows, else left to a shuffled join
     (adaptive execution splits its hot keys, as both sides are then plain exchanges)."""
-    side = settle(side)
+    side = settle(side, rows)
     return F.broadcast(side) if side.count() <= most_rows else side
