@@ -25,18 +25,39 @@ from plumbline.plans.frames import (
     sql_key,
     table,
 )
-from plumbline.session import small_frame
+from plumbline.session import path_exists, scratch_path, small_frame
+from plumbline.sources import artifacts
 
 registry = Registry()
 
-# Smaller ensembles than the registered defaults, as a user overrides them per run.
-OVERRIDES = {
-    "random_forest": {"params": {"n_estimators": 20, "max_depth": 8}},
-    "gradient_boosting": {"params": {"n_estimators": 20}},
-    "xgboost": {"params": {"n_estimators": 20, "max_depth": 4}},
-    "decision_tree": {"params": {"max_depth": 8}},
-    "svr": {"params": {"components": 32}},
-}
+# Where this process has stored each default model, by session, files of the tables and name.
+_stored: dict[tuple, str] = {}
+
+
+def _files(spark, d) -> tuple:
+    """What tells one state of the training tables from another: number and hash of their files."""
+    seen = []
+    for name in ("lineitem", "part"):
+        meta = [f"_metadata.{m}" for m in ("file_path", "file_size", "file_modification_time")]
+        files = table(spark, d, name).select(*meta).distinct()
+        seen.append(tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first()))
+    return (d, *seen)
+
+
+def stored_model(spark, d, name) -> str:
+    """Where the registered model with its defaults is stored, fitted to the training rows at the first call."""
+    key = (spark.sparkContext.applicationId, _files(spark, d), name)
+    if key not in _stored or not path_exists(spark, _stored[key]):
+        train = reg_split(spark, d).filter("split = 'train'")
+        ctx = fit_context(train, REG_FEATURES, "label", REG_IDS)
+        path = scratch_path(spark, f"default-{name}")
+        artifacts.save_model(fit_regressor(name, regression.DEFAULTS[name], train, ctx), path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def default_model(spark, d, name):
+    return artifacts.load_model(spark, stored_model(spark, d, name))
 
 
 def _terms(spark, regressor):
@@ -91,11 +112,8 @@ def _(spark, d):
 
 
 def _fit_and_measure(spark, d, name):
-    data = reg_split(spark, d)
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    ctx = fit_context(train, REG_FEATURES, "label", REG_IDS)
-    params = {**regression.DEFAULTS[name], **OVERRIDES.get(name, {}).get("params", {})}
-    fitted = fit_regressor(name, params, train, ctx)
+    test = reg_split(spark, d).filter("split = 'test'")
+    fitted = default_model(spark, d, name)
     return rounded(fitted.transform(test).agg(*basic_metrics("label", PREDICTION)).withColumn("model", F.lit(name)))
 
 
@@ -131,7 +149,7 @@ def _(spark, d):
 @registry.add("train_single")
 def _(spark, d):
     data = reg_split(spark, d)
-    trainer = ModelTrainer(OVERRIDES, cv_folds=3)
+    trainer = ModelTrainer()
     trainer.train_single(
         "decision_tree", data.filter("split = 'train'"), REG_FEATURES, "label", REG_IDS, data.filter("split = 'test'")
     )
@@ -141,7 +159,7 @@ def _(spark, d):
 @registry.add("train_all")
 def _(spark, d):
     data = reg_split(spark, d)
-    trainer = ModelTrainer(OVERRIDES, cv_folds=3)
+    trainer = ModelTrainer()
     results = trainer.train_all(
         data.filter("split = 'train'"),
         REG_FEATURES,

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators.engineering import FeatureEngineer
-from plumbline.operators.regression import DEFAULTS, PREDICTION, ModelTrainer, basic_metrics, fit_context, fit_regressor
+from plumbline.operators.regression import DEFAULTS, PREDICTION, basic_metrics, cross_validate, fit_context, fit_regressor
 from plumbline.operators.selection import FeatureFlow, FeatureSelector
+from plumbline.operators.splitting import fold_column
+from plumbline.operators.stats import spread
 from plumbline.plans.frames import (
     HOUSE_FEATURES,
     HOUSE_SQL,
@@ -24,7 +26,7 @@ from plumbline.plans.frames import (
 )
 from plumbline.plans.cleaning_queries import DIRTY_ALL, DIRTY_FEATURES, PREPARED_SQL
 from plumbline.plans.feature_queries import CANDIDATES, WIDE_SQL, f_test_sql
-from plumbline.plans.model_queries import BASIC_SQL, OLS2_TRAIN_SQL, OVERRIDES
+from plumbline.plans.model_queries import BASIC_SQL, OLS2_TRAIN_SQL, default_model, stored_model
 from plumbline.plans.preprocess import Preprocessor
 from plumbline.session import scratch_path
 from plumbline.sources import artifacts, tables
@@ -135,20 +137,23 @@ def _(spark, d):
 
 
 def _published(spark, d, names=("linear_regression", "ridge", "decision_tree")):
-    """Train, store the models and the manifest, and return (manifest path, test rows)."""
+    """Store the default models and a manifest of their scores, and return (manifest path, test rows)."""
     data = reg_split(spark, d)
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    trainer = ModelTrainer(OVERRIDES, cv_folds=3)
-    trainer.train_all(train, REG_FEATURES, "label", REG_IDS, test, names)
-    path = scratch_path(spark, "models")
+    test = data.filter("split = 'test'")
+    columns = [*REG_IDS, *REG_FEATURES, "label", fold_column(REG_IDS).alias("fold")]
+    train = spread(data.filter("split = 'train'").select(*columns))
     rows = []
-    for name, result in trainer.results.items():
-        artifacts.save_model(trainer.models[name], f"{path}/{name}")
-        rows.append(
-            (name, f"{path}/{name}", result.cv_rmse, result.test["rmse"], result.test["r2"], REG_FEATURES, REG_FEATURES)
-        )
-    artifacts.write_manifest(spark, f"{path}/manifest", rows)
-    return f"{path}/manifest", test
+    try:
+        for name in names:
+            folds = cross_validate(name, DEFAULTS[name], train, REG_FEATURES, "label", "fold", 5, REG_IDS)
+            scores = default_model(spark, d, name).transform(test).agg(*basic_metrics("label", PREDICTION)).first()
+            mean = sum(folds) / len(folds)
+            rows.append((name, stored_model(spark, d, name), mean, scores["rmse"], scores["r2"], REG_FEATURES, REG_FEATURES))
+    finally:
+        train.unpersist()
+    path = f"{scratch_path(spark, 'models')}/manifest"
+    artifacts.write_manifest(spark, path, rows)
+    return path, test
 
 
 @registry.add("model_manifest")
