@@ -11,7 +11,6 @@ from collections.abc import Iterator, Mapping, Sequence
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -237,14 +236,13 @@ def complexity(model: Regressor, spark) -> DataFrame:
     )
 
 
-def leaf_values(model: Regressor, spark) -> list[np.ndarray]:
-    """Predicted value of every leaf of every tree, in the order Spark numbers leaves."""
+def leaf_values(model: Regressor, spark) -> DataFrame:
+    """(tree, leaf, value) of every leaf of every tree, numbered as Spark numbers leaves."""
     path = scratch_path(spark, "forest")
     model.model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    leaves = nodes.select("treeID", "nodeData.*").filter("leftChild < 0").select("treeID", "id", "prediction")
-    table = leaves.toPandas().sort_values(["treeID", "id"])  # as large as the model, which the driver holds
-    return [g["prediction"].to_numpy() for _, g in table.groupby("treeID")]
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").filter("leftChild < 0")
+    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1  # a task sorts one tree
+    return nodes.select(F.col("treeID").alias("tree"), leaf.alias("leaf"), F.col("prediction").alias("value"))
 
 
 def prediction_intervals(
@@ -252,60 +250,44 @@ def prediction_intervals(
 ) -> DataFrame | None:
     """Forests: prediction, deviation across trees, bounds and width per row. Others: None.
 
-    The leaf every tree reaches is read from one scoring pass and looked up in a
-    table of leaf values, so neither a transform per tree nor a shuffle is needed.
-    Forests with more leaves than the limit are looked up in several groups of trees.
+    The leaf every tree reaches is read from one scoring pass and joined with the
+    table of leaf values, so no transform per tree is needed and no leaf comes to the
+    driver. Forests of more than ``broadcast_leaves`` nodes are never broadcast by Spark.
     """
     if not hasattr(model.model, "getNumTrees") or "GBT" in type(model.model).__name__:
         return None
     spark = df.sparkSession
-    values = leaf_values(model, spark)
+    leaves = leaf_values(model, spark)
+    if int(model.model.totalNumNodes) > broadcast_leaves:
+        leaves = leaves.hint("merge")
     scored_model = model.model.copy()
     scored_model.setLeafCol("__leaves")
     scored = Regressor(model.name, scored_model, model.features, model.label).transform(df)
-    scored = scored.withColumn("__leaves", vector_to_array("__leaves"))
-    groups: list[list[int]] = [[]]
-    size = 0
-    for tree, leaves in enumerate(values):
-        if groups[-1] and size + len(leaves) > broadcast_leaves:
-            groups.append([])
-            size = 0
-        groups[-1].append(tree)
-        size += len(leaves)
-    total, squares = F.lit(0.0), F.lit(0.0)
-    for trees in groups:
-        sums = _leaf_sums(spark, values, trees)(F.col("__leaves"), F.col(PREDICTION))
-        total, squares = total + sums["total"], squares + sums["squares"]
-    n = len(values)
-    spread = F.sqrt(F.greatest(F.lit(0.0), squares / n - F.pow(total / n, F.lit(2.0))))
+    path = scratch_path(spark, "interval-rows")  # written: the row numbers must not change between two reads
+    scored.withColumn("__leaves", vector_to_array("__leaves")).withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    scored = spark.read.parquet(path)
+    reached = scored.select("__row", PREDICTION, F.posexplode("__leaves").alias("tree", "leaf"))
+    off = F.col("value") - F.col(PREDICTION)
+    sums = (
+        reached.withColumn("leaf", F.col("leaf").cast("int"))
+        .join(leaves, ["tree", "leaf"])
+        .groupBy("__row")
+        .agg(F.sum(off).alias("__total"), F.sum(off * off).alias("__squares"))
+    )
+    scored = scored.join(sums, "__row")
+    n = int(model.model.getNumTrees)
+    variance = F.col("__squares") / n - F.pow(F.col("__total") / n, F.lit(2.0))
+    spread = F.when(variance.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), variance)))  # no prediction, no deviation
     z = NormalDist().inv_cdf(1 - (1 - confidence) / 2)
     return (
         scored.withColumn("prediction_std", spread)
-        .drop("__leaves")
+        .drop("__leaves", "__row", "__total", "__squares")
         .withColumn("lower_bound", F.col(PREDICTION) - F.lit(z) * F.col("prediction_std"))
         .withColumn("upper_bound", F.col(PREDICTION) + F.lit(z) * F.col("prediction_std"))
         .withColumn("interval_width", F.lit(2 * z) * F.col("prediction_std"))
     )
 
 
-def _leaf_sums(spark, values: list[np.ndarray], trees: list[int]):
-    """Sum and sum of squares of the trees' values around the forest's prediction."""
-    shared = spark.sparkContext.broadcast([values[t] for t in trees])
-
-    @F.pandas_udf("total double, squares double")
-    def sums(leaves: pd.Series, center: pd.Series) -> pd.DataFrame:
-        index = np.stack(leaves.to_numpy()).astype(np.int64) if len(leaves) else np.zeros((0, len(trees)), dtype=np.int64)
-        total = np.zeros(len(index))
-        squares = np.zeros(len(index))
-        for position, tree in enumerate(trees):
-            off = shared.value[position][index[:, tree]] - center.to_numpy() if len(index) else np.zeros(0)
-            total += off
-            squares += off * off
-        return pd.DataFrame({"total": total, "squares": squares})
-
-    return sums
-
-
 def diagnostic_histograms(preds: DataFrame, bins: int = 30) -> DataFrame:
     """Residual and absolute-error histograms of one model's predictions."""
     errors = preds.select(residual().alias("residual"), F.abs(residual()).alias("abs_error"))

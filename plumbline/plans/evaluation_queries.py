@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import row_key
 from plumbline.operators import evaluation
-from plumbline.operators.regression import DEFAULTS, fit_context, fit_regressor
 from plumbline.plans.frames import (
     PRED_SQL,
-    REG_FEATURES,
     REG_IDS,
     Registry,
     pred_frame,
@@ -18,6 +16,7 @@ from plumbline.plans.frames import (
     rounded,
     table,
 )
+from plumbline.plans.model_queries import default_model
 from plumbline.plans.profile_queries import histogram_sql
 
 registry = Registry()
@@ -150,10 +149,7 @@ def _(spark, d):
 
 def _forest(spark, d):
     data = reg_split(spark, d)
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    ctx = fit_context(train, REG_FEATURES, "label", REG_IDS)
-    params = {**DEFAULTS["random_forest"], "n_estimators": 10, "max_depth": 6}
-    return fit_regressor("random_forest", params, train, ctx), train, test
+    return default_model(spark, d, "random_forest"), data.filter("split = 'train'"), data.filter("split = 'test'")
 
 
 @registry.add("importance_top10")

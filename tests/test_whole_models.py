@@ -2,8 +2,11 @@
 
 import pytest
 
-from plumbline.operators.regression import DEFAULTS, MAX_DEPTH
-from plumbline.plans import model_queries
+from pyspark.sql import functions as F
+
+from plumbline.operators import evaluation
+from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, fit_context, fit_regressor
+from plumbline.plans import evaluation_queries, model_queries
 
 
 def test_stored_default_is_deep_and_fitted_once(spark, sf):
@@ -32,3 +35,27 @@ def test_queries_fit_the_defaults(spark, sf, monkeypatch):
         with pytest.raises(InterruptedError):
             model_queries.registry.queries[key](spark, sf)
     assert asked == {n: DEFAULTS[n] for n in asked} and len(asked) == 5
+
+
+def test_evaluation_reads_the_default_forest(spark, sf, monkeypatch):
+    asked = []
+    monkeypatch.setattr(evaluation_queries, "default_model", lambda spark, d, name: asked.append(name) or InterruptedError)
+    assert evaluation_queries._forest(spark, sf)[0] is InterruptedError and asked == ["random_forest"]
+
+
+def test_interval_leaves_stay_in_spark(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i % 11), float(i % 5)) for i in range(120)]
+    data = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    params = {**DEFAULTS["random_forest"], "n_estimators": 3, "max_depth": 4}
+    model = fit_regressor("random_forest", params, data, fit_context(data, ["a", "b"], "y"))
+
+    def refuse(*_):
+        raise AssertionError("leaves came to the driver")
+
+    holed = data.withColumn("a", F.when(F.col("id") != 5, F.col("a")))
+    with monkeypatch.context() as m:
+        m.setattr(type(data), "toPandas", refuse)
+        intervals = evaluation.prediction_intervals(model, holed)
+    assert intervals.count() == 120
+    missing = intervals.filter("id = 5").first()
+    assert missing["prediction_std"] is None and missing["interval_width"] is None
