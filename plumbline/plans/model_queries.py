@@ -166,7 +166,7 @@ def _(spark, d):
         "label",
         REG_IDS,
         data.filter("split = 'test'"),
-        ["linear_regression", "ridge", "lasso", "elastic_net", "decision_tree", "random_forest", "unregistered"],
+        [*regression.DEFAULTS, "unregistered"],
     )
     rows = [(x.name, x.cv_rmse, x.test.get("rmse"), x.test.get("r2"), x.error) for x in results.values()]
     return small_frame(spark, rows, "model string, cv_rmse double, test_rmse double, test_r2 double, error string")
@@ -309,22 +309,22 @@ def _(spark, d):
 
 @registry.add("tune_grid_trees")
 def _(spark, d):
-    tuner = tuning.HyperparameterTuner(REG_FEATURES, "label", REG_IDS, cv_folds=3)
-    tuner.grid_search("decision_tree", reg_frame(spark, d), {"max_depth": [4, 8], "min_samples_leaf": [1, 4]})
+    tuner = tuning.HyperparameterTuner(REG_FEATURES, "label", REG_IDS)
+    tuner.grid_search("decision_tree", reg_frame(spark, d))
     return rounded(tuning.per_setting(tuner.trials(spark)))
 
 
 @registry.add("tune_random")
 def _(spark, d):
     tuner = tuning.HyperparameterTuner(REG_FEATURES, "label", REG_IDS)
-    tuner.random_search("elastic_net", reg_frame(spark, d), n_iter=10)
+    tuner.random_search("elastic_net", reg_frame(spark, d))
     return rounded(tuning.per_setting(tuner.trials(spark)))
 
 
 @registry.add("tune_adaptive")
 def _(spark, d):
     tuner = tuning.HyperparameterTuner(REG_FEATURES, "label", REG_IDS)
-    tuner.adaptive_search("ridge", reg_frame(spark, d), n_trials=30)
+    tuner.adaptive_search("ridge", reg_frame(spark, d))
     return rounded(tuning.per_setting(tuner.trials(spark)))
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import evaluation
+from plumbline.operators import evaluation, tuning
 from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, fit_context, fit_regressor
 from plumbline.plans import evaluation_queries, model_queries
 
@@ -59,3 +59,37 @@ def test_interval_leaves_stay_in_spark(spark, monkeypatch):
     assert intervals.count() == 120
     missing = intervals.filter("id = 5").first()
     assert missing["prediction_std"] is None and missing["interval_width"] is None
+
+
+def test_train_all_takes_every_model(spark, sf, monkeypatch):
+    seen = {}
+
+    def train_all(self, train, features, label, ids, test, names):
+        seen.update(names=names, folds=self.cv_folds, params=self.params)
+        return {}
+
+    monkeypatch.setattr(model_queries.ModelTrainer, "train_all", train_all)
+    model_queries.registry.queries["train_all"](spark, sf)
+    assert seen == {"names": [*DEFAULTS, "unregistered"], "folds": 5, "params": DEFAULTS}
+
+
+def test_searches_take_their_default_settings(spark, sf, monkeypatch):
+    tried = {}
+
+    def run(self, model, method, df, settings):
+        study = tuning.Study(model, method)
+        for batch in settings(study):
+            study.trials += [tuning.Trial(s, [1.0] * self.cv_folds) for s in batch]
+        tried[method] = study
+        self.studies[study.experiment] = study
+        return study
+
+    monkeypatch.setattr(tuning.HyperparameterTuner, "_run", run)
+    for key in ("tune_random", "tune_adaptive", "tune_grid_trees"):
+        model_queries.registry.queries[key](spark, sf)
+    assert {m: (len(s.trials), s.total_fits) for m, s in tried.items()} == {
+        "random_search": (50, 250),
+        "adaptive": (100, 500),
+        "grid_search": (15, 75),
+    }
+    assert [t.params for t in tried["grid_search"].trials][0] == {"max_depth": None, "min_samples_leaf": 1}
