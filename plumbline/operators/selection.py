@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import equal_width_bin, numeric_columns
 from plumbline.functions.moments import pearson
 from plumbline.operators.linear import cross_products, fold_rmse, solve, total
+from plumbline.operators.regression import tree_depth
 from plumbline.operators.splitting import fold_column
 from plumbline.operators.stats import moments, spread
 from plumbline.session import small_frame
@@ -98,7 +99,7 @@ class FeatureSelector:
     ids: Sequence[str] = ()
     seed: int = 42
     trees: int = 50
-    depth: int = 5
+    depth: int | None = None
     step: int = 1
     bins: int = 10
 
@@ -156,7 +157,7 @@ class FeatureSelector:
                     featuresCol="__features",
                     labelCol=label,
                     numTrees=self.trees,
-                    maxDepth=self.depth,
+                    maxDepth=tree_depth(self.depth),
                     featureSubsetStrategy="all",
                     seed=self.seed,
                 ).fit(vectors)

@@ -182,7 +182,7 @@ def _(spark, d):
 
 @registry.add("select_rfe")
 def _(spark, d):
-    selector = FeatureSelector("rfe", 2, REG_IDS, trees=10)
+    selector = FeatureSelector("rfe", 2, REG_IDS)
     return selector.fit(reg_frame(spark, d), "label", REG_FEATURES).table(spark)
 
 

@@ -4,9 +4,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from plumbline.operators import evaluation, tuning
+from plumbline.operators import evaluation, selection, tuning
 from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, fit_context, fit_regressor
-from plumbline.plans import evaluation_queries, model_queries
+from plumbline.plans import evaluation_queries, feature_queries, model_queries
 
 
 def test_stored_default_is_deep_and_fitted_once(spark, sf):
@@ -93,3 +93,16 @@ def test_searches_take_their_default_settings(spark, sf, monkeypatch):
         "grid_search": (15, 75),
     }
     assert [t.params for t in tried["grid_search"].trials][0] == {"max_depth": None, "min_samples_leaf": 1}
+
+
+def test_elimination_forests_have_their_full_size(spark, sf, monkeypatch):
+    asked = []
+
+    def forest(**params):
+        asked.append(params)
+        raise InterruptedError
+
+    monkeypatch.setattr(selection, "RandomForestRegressor", forest)
+    with pytest.raises(InterruptedError):
+        feature_queries.registry.queries["select_rfe"](spark, sf)
+    assert asked[0]["maxDepth"] == MAX_DEPTH and asked[0]["numTrees"] == 50
