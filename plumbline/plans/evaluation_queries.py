@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import row_key
 from plumbline.operators import evaluation
+from plumbline.operators.stats import spread
 from plumbline.plans.frames import (
+    ONE_FEATURE_MODELS,
     PRED_SQL,
     REG_IDS,
     Registry,
@@ -18,6 +20,7 @@ from plumbline.plans.frames import (
 )
 from plumbline.plans.model_queries import default_model
 from plumbline.plans.profile_queries import histogram_sql
+from plumbline.session import small_frame
 
 registry = Registry()
 
@@ -112,8 +115,16 @@ def _(spark, d):
 
 @registry.add("residual_report")
 def _(spark, d):
-    one = _test_preds(spark, d).filter("model = 'by_quantity'")
-    return rounded(evaluation.residual_report(one, [*REG_IDS, "y_true"]))
+    preds = spread(_test_preds(spark, d).select("model", *REG_IDS, "y_true", "y_pred"))
+    try:
+        reports = []
+        for model in ONE_FEATURE_MODELS:
+            report = evaluation.residual_report(preds.filter(F.col("model") == model), [*REG_IDS, "y_true"])
+            reports.append(report.select(F.lit(model).alias("model"), "*"))
+        rows = [tuple(row) for report in reports for row in report.collect()]  # one row per model
+        return rounded(small_frame(spark, rows, reports[0].schema.simpleString()[7:-1].replace(":", " ")))
+    finally:
+        preds.unpersist()
 
 
 @registry.add(

@@ -136,7 +136,7 @@ def _(spark, d):
     return rounded(artifacts.load_results(spark, _stored_results(spark, d), RESULT_DDL))
 
 
-def _published(spark, d, names=("linear_regression", "ridge", "decision_tree")):
+def _published(spark, d, names=tuple(DEFAULTS)):
     """Store the default models and a manifest of their scores, and return (manifest path, test rows)."""
     data = reg_split(spark, d)
     test = data.filter("split = 'test'")

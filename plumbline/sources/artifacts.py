@@ -6,13 +6,14 @@ import dataclasses
 import json
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.cleaning import CapperModel, ImputerModel
 from plumbline.operators.engineering import FeatureEngineer, FeatureEngineerModel
-from plumbline.operators.neighbors import NeighborModel
+from plumbline.operators.neighbors import NearestNeighbors, NeighborModel, Partition
 from plumbline.operators.regression import Regressor
 from plumbline.operators.scaling import ScalerModel
 from plumbline.operators.selection import FeatureFlowModel, SelectorModel
@@ -33,11 +34,17 @@ def load_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def save_model(regressor: Regressor, path: str, metadata: DataFrame | None = None) -> None:
-    """The model through its own writer, what it reads as a one-row table, results as JSON."""
-    if isinstance(regressor.model, NeighborModel):
-        raise ValueError("a neighbour model is its training table; save that instead")
+    """The model through its own writer, what it reads as a one-row table, results as JSON.
+
+    A neighbour model is its training table, with its settings and partition beside it.
+    """
     spark = SparkSession.active()
-    regressor.model.write().overwrite().save(f"{path}/model")
+    if isinstance(regressor.model, NeighborModel):
+        regressor.model.points.write.mode("overwrite").parquet(f"{path}/points")
+        settings = small_frame(spark, [(json.dumps(_neighbor_settings(regressor.model)),)], "settings string")
+        settings.write.mode("overwrite").parquet(f"{path}/neighbors")
+    else:
+        regressor.model.write().overwrite().save(f"{path}/model")
     row = (regressor.name, regressor.label, list(regressor.features))
     small_frame(spark, [row], "name string, label string, features array<string>").write.mode("overwrite").parquet(f"{path}/reads")
     if metadata is not None:
@@ -46,7 +53,28 @@ def save_model(regressor: Regressor, path: str, metadata: DataFrame | None = Non
 
 def load_model(spark: SparkSession, path: str) -> Regressor:
     row = spark.read.parquet(f"{path}/reads").first()
-    return Regressor(row["name"], DefaultParamsReader.loadParamsInstance(f"{path}/model", spark), list(row["features"]), row["label"])
+    if path_exists(spark, f"{path}/neighbors"):
+        model = _load_neighbors(spark, path)
+    else:
+        model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+    return Regressor(row["name"], model, list(row["features"]), row["label"])
+
+
+def _neighbor_settings(model: NeighborModel) -> dict:
+    """Everything but the points: JSON keeps doubles, infinities and NaN as they are."""
+    config = {f.name: getattr(model.config, f.name) for f in dataclasses.fields(model.config)}
+    config |= {"features": list(config["features"]), "ids": list(config["ids"])}
+    tree = None if model.partition is None else dataclasses.asdict(model.partition)
+    boxes = [None if b is None else b.tolist() for b in (model.low, model.high)]
+    return {"config": config, "n": model.n, "partition": tree, "boxes": boxes}
+
+
+def _load_neighbors(spark: SparkSession, path: str) -> NeighborModel:
+    kept = json.loads(spark.read.parquet(f"{path}/neighbors").first()[0])
+    tree = None if kept["partition"] is None else Partition(**kept["partition"])
+    boxes = [None if b is None else np.array(b, dtype=float) for b in kept["boxes"]]
+    points = spark.read.parquet(f"{path}/points")
+    return NeighborModel(NearestNeighbors(**kept["config"]), points, kept["n"], tree, *boxes)
 
 
 _KINDS = {

@@ -1,12 +1,14 @@
 """Registered queries use the registered defaults, not smaller stand-ins."""
 
 import pytest
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from plumbline.operators import evaluation, selection, tuning
-from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, fit_context, fit_regressor
-from plumbline.plans import evaluation_queries, feature_queries, model_queries
+from plumbline.operators.neighbors import NearestNeighbors
+from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, Regressor, fit_context, fit_regressor
+from plumbline.plans import evaluation_queries, feature_queries, model_queries, scoring_queries, storage_queries
+from plumbline.sources import artifacts
 
 
 def test_stored_default_is_deep_and_fitted_once(spark, sf):
@@ -106,3 +108,34 @@ def test_elimination_forests_have_their_full_size(spark, sf, monkeypatch):
     with pytest.raises(InterruptedError):
         feature_queries.registry.queries["select_rfe"](spark, sf)
     assert asked[0]["maxDepth"] == MAX_DEPTH and asked[0]["numTrees"] == 50
+
+
+def test_residual_report_has_every_model(spark, sf):
+    rows = evaluation_queries.registry.queries["residual_report"](spark, sf).collect()
+    assert sorted(r["model"] for r in rows) == ["by_discount", "by_price", "by_quantity"]
+    assert len({r["std"] for r in rows}) == 3
+
+
+@pytest.mark.parametrize("config", [{}, {"broadcast_rows": 5, "leaf_rows": 16}])
+def test_neighbours_stored_and_loaded(spark, tmp_path, config):
+    rows = [(i, float(i * 7 % 31), float(i * 5 % 17), float(i)) for i in range(200)]
+    data = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    model = Regressor("knn", NearestNeighbors(5, ["a", "b"], "y", ["id"], **config).fit(data), ["a", "b"], "y")
+    artifacts.save_model(model, str(tmp_path / "knn"))
+    loaded = artifacts.load_model(spark, str(tmp_path / "knn"))
+    got, want = ([r[0] for r in m.transform(data).orderBy("id").select("prediction").collect()] for m in (loaded, model))
+    assert got == want and loaded.name == "knn"
+
+
+def test_scoring_and_storing_take_every_model(spark, sf, monkeypatch):
+    asked = []
+
+    def model(spark, d, name):
+        asked.append(name)
+        return Regressor(name, None, ["absent"], "label")
+
+    monkeypatch.setattr(scoring_queries, "default_model", model)
+    with pytest.raises(AnalysisException):
+        scoring_queries.registry.queries["batch_score"](spark, sf)
+    assert asked == list(DEFAULTS)
+    assert storage_queries._published.__defaults__ == (tuple(DEFAULTS),)
