@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,8 +80,15 @@ def split_stratified(
 
 
 def fold_column(ids: Sequence[str], folds: int = 5, seed: int = 42) -> Column:
-    """Shuffled fold number ``0..folds-1``."""
-    return F.shiftright(row_key(*ids, seed=seed) * F.lit(folds), KEY_SPACE.bit_length() - 1).cast("int")
+    """Shuffled fold number ``0..folds-1``, from a key of its own: folds of a train split are as even as those of all rows."""
+    return F.shiftright(row_key(F.lit("fold"), *ids, seed=seed) * F.lit(folds), KEY_SPACE.bit_length() - 1).cast("int")
+
+
+def require_folds(found: Iterable[int], folds: int) -> None:
+    """An error where a fold holds no row: its score would be missing from every mean."""
+    empty = sorted(set(range(folds)) - set(found))
+    if empty:
+        raise ValueError(f"folds {empty} of {folds} hold no row")
 
 
 def contiguous_folds(df: DataFrame, order: str, folds: int = 5, column: str = "fold") -> DataFrame:

@@ -61,7 +61,7 @@ def sql_key(*ids: str, seed: int = 42) -> str:
 
 
 def sql_fold(*ids: str, folds: int = 5) -> str:
-    return f"(({sql_key(*ids)} * {folds}) >> {4 * KEY_HEX_DIGITS})"
+    return f"(({sql_key("'fold'", *ids)} * {folds}) >> {4 * KEY_HEX_DIGITS})"
 
 
 TEST_KEYS = fraction_threshold(0.2)
