@@ -164,3 +164,96 @@ SELECT conv_id, turn::BIGINT AS turn, call_id, name, level, n_calls, coalesce(n_
          || '","result":' || coalesce(to_json(result)::VARCHAR, 'null') || '}}' AS json
 FROM checked
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+counted AS (SELECT r, count(*) AS n FROM links GROUP BY r), used AS (SELECT r, vec_id AS id, e, label FROM v),
+numbered AS (SELECT row_number() OVER () AS k, vec_id, label, embedding FROM embeddings),
+smallest AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+n AS (SELECT v.vec_id AS id, v.label AS l, v.e, max(coalesce(counted.n, 0)) AS n FROM v LEFT JOIN counted USING (r) GROUP BY ALL)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(m, vec_id) AS component_id, coalesce(coalesce(m, vec_id) = vec_id, true) AS kept
+FROM numbered LEFT JOIN smallest ON vec_id = a
+LEFT JOIN n ON n.id = vec_id AND n.l = label AND n.e = list_transform(embedding, lambda x: x::DOUBLE)
+"""
+
+#: Of a text of ASCII characters: its checksum by the reflected polynomial 0xEDB88320, bit by bit.
+CRC_TABLE = """crc AS (SELECT list(c ORDER BY k) AS t FROM (SELECT k, list_reduce(list_prepend(k, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256))::BIGINT AS k)))"""
+
+
+def _crc32(value: str) -> str:
+    """The unsigned checksum of the UTF-8 bytes of a text, over the table of ``crc``."""
+    spelled = f"hex(encode({value}))"
+    found = f"list_transform(range(octet_length(encode({value}))), lambda i: ('0x' || substr({spelled}, (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {found}), lambda c, b: xor(crc.t[xor(c & 255, b) + 1], c >> 8)), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(source: str) -> str:
+    """All levels of the trees of ``g, i, h``: while a group has several nodes, runs of 8 become one."""
+    return f"""SELECT g, 0 AS lvl, i, h, count(*) OVER (PARTITION BY g) AS n FROM {source}
+  UNION ALL SELECT g, lvl, i, h, count(*) OVER (PARTITION BY g) AS n FROM (
+    SELECT g, lvl + 1 AS lvl, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {{tree}} WHERE n > 1 GROUP BY g, lvl, i // 8)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE},
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS h,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf(f"translate(text, {FOLD})")} ELSE {_leaf("text")} END AS claim FROM documents, crc),
+placed AS (SELECT row_number() OVER () AS r, doc_id, g, h, claim, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM leaves),
+lower_tree AS ({_tree("placed").format(tree="lower_tree")}),
+subroots AS (SELECT g AS lang, h AS subroot, '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, h FROM lower_tree WHERE n = 1),
+upper_tree AS ({_tree("subroots").format(tree="upper_tree")}),
+way AS (
+  SELECT p.r, t.lvl, string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < p.i // (8 ** t.lvl)::BIGINT) AS l, string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > p.i // (8 ** t.lvl)::BIGINT) AS rgt
+  FROM placed p JOIN (SELECT DISTINCT g, lvl FROM lower_tree WHERE n > 1) t ON t.g = p.g
+  JOIN lower_tree s ON s.g = p.g AND s.lvl = t.lvl AND s.i // 8 = p.i // (8 ** (t.lvl + 1))::BIGINT GROUP BY p.r, t.lvl
+  UNION ALL
+  SELECT p.r, 100 + t.lvl, string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < o.i // (8 ** t.lvl)::BIGINT), string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > o.i // (8 ** t.lvl)::BIGINT)
+  FROM placed p JOIN subroots o ON o.lang = p.g JOIN (SELECT DISTINCT lvl FROM upper_tree WHERE n > 1) t ON true
+  JOIN upper_tree s ON s.lvl = t.lvl AND s.i // 8 = o.i // (8 ** (t.lvl + 1))::BIGINT GROUP BY p.r, t.lvl),
+steps AS (
+  SELECT r, list({{'l': coalesce(l, ''), 'r': coalesce(rgt, '')}} ORDER BY lvl) AS path, string_agg(coalesce(l, '') || coalesce(rgt, ''), '' ORDER BY lvl) AS beside FROM way GROUP BY r),
+fold AS (
+  SELECT r, claim AS node, 1 AS k FROM placed
+  UNION ALL SELECT r, sha256(path[k]['l'] || node || path[k]['r']), k + 1 FROM fold JOIN steps USING (r) WHERE k <= len(path)),
+ends AS (SELECT r, arg_max(node, k) AS folded_root FROM fold GROUP BY r)
+SELECT doc_id, placed.h AS leaf, subroot, root, sha256(coalesce(beside, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots ON subroots.lang = placed.g JOIN ends USING (r) LEFT JOIN steps USING (r), (SELECT h AS root FROM upper_tree WHERE n = 1)
+"""
+
+RESAMPLE = f"""
+WITH {CRC_TABLE},
+texts AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), {FOLD}) AS t FROM documents),
+found AS (SELECT r, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+wanted AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {FOLD}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+buckets AS (SELECT w, {_crc32("w")} % 10000 AS b FROM (SELECT w FROM found UNION SELECT w FROM wanted), crc),
+sizes AS (SELECT (SELECT count(*) FROM found)::DOUBLE AS s, (SELECT count(*) FROM wanted)::DOUBLE AS t),
+gains AS (
+  SELECT b, floor(1000 * ln((t.n + 1) * (sizes.s + 10000) / ((s.n + 1) * (sizes.t + 10000))))::BIGINT AS gain
+  FROM (SELECT b, count(found.w)::DOUBLE AS n FROM buckets LEFT JOIN found USING (w) GROUP BY b) s
+  JOIN (SELECT b, count(wanted.w)::DOUBLE AS n FROM buckets LEFT JOIN wanted USING (w) GROUP BY b) t USING (b), sizes),
+weights AS (SELECT r, count(*) AS n, sum(gain) AS weight FROM found JOIN buckets USING (w) JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features) AS k, count(*) OVER () AS able FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * able // 100 THEN k END AS rank FROM scored LEFT JOIN ranked USING (r)
+"""

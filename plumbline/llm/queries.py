@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from plumbline.llm import language, oracles
-from plumbline.llm.common import WORD, table
+from plumbline.llm.common import WORD, fold, table
 from plumbline.llm.jaccard import similar_classes
 from plumbline.llm.line_dedup import dedup_lines
+from plumbline.llm.merkle import digest, folded, manifest, siblings
 from plumbline.llm.mixing import mix
+from plumbline.llm.near_vectors import near_vectors
 from plumbline.llm.pieces import encode_pieces
 from plumbline.llm.quality import judge
+from plumbline.llm.resample import resample
 from plumbline.llm.token_counts import count_after_edits, mask_edits
 from plumbline.llm.tool_calls import link_calls
 from plumbline.llm.topk import top_k
@@ -100,6 +103,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against claims that lower-case the text where 3 divides the checksum of the id."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    claims = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [F.when(tampered, fold(F.col("text"))).otherwise(F.col("text"))]
+    rows = manifest(docs, "doc_id", "lang", ["doc_id", "source", "lang", "n_chars", "text"], claims)
+    reached = rows.withColumn("folded_root", folded(F.col("claim"), F.col("path"))).withColumn("proof_sha256", digest(siblings(F.col("path"))))
+    hashes = [F.col(c).cast("string").alias(c) for c in ("leaf", "subroot", "root", "proof_sha256", "folded_root")]
+    return reached.select(F.col("id").alias("doc_id"), *hashes, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_sentencepiece,
         op10_language_id,
+        op11_embedding_dedup,
+        op12_merkle_manifest,
+        op13_importance_resampling,
     )
 }
 ORACLE: dict[str, str] = {
@@ -123,4 +149,7 @@ ORACLE: dict[str, str] = {
     "op6_chat_formatting": oracles.CHAT,
     "op7_mixing": oracles.MIXING,
     "op8_top_k": oracles.TOP_K,
+    "op11_embedding_dedup": oracles.NEAR_VECTORS,
+    "op12_merkle_manifest": oracles.MERKLE,
+    "op13_importance_resampling": oracles.RESAMPLE,
 }
