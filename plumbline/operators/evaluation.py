@@ -12,16 +12,19 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.moments import adjusted_kurtosis, adjusted_skewness, jarque_bera, pearson, student_t_two_sided
 from plumbline.operators.explore import histogram, scatter_sample
+from plumbline.operators.forest import TreeModel
 from plumbline.operators.regression import PREDICTION, Regressor
 from plumbline.operators.stats import quantiles, spread
-from plumbline.session import scratch_path, small_frame
+from plumbline.session import small_frame
 
+COMPLEXITY_DDL = (
+    "model string, model_type string, n_parameters bigint, n_estimators bigint, max_depth bigint, n_nodes bigint, n_features bigint"
+)
 MACHINE_EPSILON = 2.220446049250313e-16
 METRICS = (
     "rmse mae r2 mse mape max_error mean_residual std_residual q95_error q99_error adjusted_r2".split()
@@ -214,6 +217,8 @@ def importance_top(model: Regressor, spark, k: int = 10) -> DataFrame:
 def parameter_count(model: Regressor) -> int | None:
     """Linear: coefficients and intercept. Trees: trees times 2^depth, unknown for unlimited depth."""
     last = model.model.stages[-1] if hasattr(model.model, "stages") else model.model
+    if isinstance(last, TreeModel):
+        return None if last.max_depth is None else last.n_trees * 2**last.max_depth
     if hasattr(last, "coefficients"):
         return int(last.coefficients.size) + 1
     if hasattr(last, "getMaxDepth"):
@@ -224,65 +229,31 @@ def parameter_count(model: Regressor) -> int | None:
 
 def complexity(model: Regressor, spark) -> DataFrame:
     last = model.model.stages[-1] if hasattr(model.model, "stages") else model.model
+    if isinstance(last, TreeModel):
+        trees = None if last.kind == "tree" else last.n_trees
+        kind = {"tree": "DecisionTree", "forest": "RandomForest", "boosted": "BoostedTrees"}[last.kind]
+        row = (model.name, kind, parameter_count(model), trees, last.max_depth, last.nodes, len(model.features))
+        return small_frame(spark, [row], COMPLEXITY_DDL)
     trees = int(last.getNumTrees) if hasattr(last, "getNumTrees") else None
     depth = int(last.getMaxDepth()) if hasattr(last, "getMaxDepth") else None
     nodes = getattr(last, "totalNumNodes", getattr(last, "numNodes", None))
     row = (model.name, type(last).__name__, parameter_count(model), trees, depth, nodes, len(model.features))
-    return small_frame(
-        spark,
-        [row],
-        "model string, model_type string, n_parameters bigint, n_estimators bigint, "
-        "max_depth bigint, n_nodes bigint, n_features bigint",
-    )
-
+    return small_frame(spark, [row], COMPLEXITY_DDL)
 
-def leaf_values(model: Regressor, spark) -> DataFrame:
-    """(tree, leaf, value) of every leaf of every tree, numbered as Spark numbers leaves."""
-    path = scratch_path(spark, "forest")
-    model.model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").filter("leftChild < 0")
-    leaf = F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1  # a task sorts one tree
-    return nodes.select(F.col("treeID").alias("tree"), leaf.alias("leaf"), F.col("prediction").alias("value"))
 
-
-def prediction_intervals(
-    model: Regressor, df: DataFrame, confidence: float = 0.95, broadcast_leaves: int = 8_000_000
-) -> DataFrame | None:
+def prediction_intervals(model: Regressor, df: DataFrame, confidence: float = 0.95) -> DataFrame | None:
     """Forests: prediction, deviation across trees, bounds and width per row. Others: None.
 
-    The leaf every tree reaches is read from one scoring pass and joined with the
-    table of leaf values, so no transform per tree is needed and no leaf comes to the
-    driver. Forests of more than ``broadcast_leaves`` nodes are never broadcast by Spark.
+    Rows are routed through the packed trees, and only the sum of the trees' values and of their squares is kept
+    for each row: nothing is shuffled for each tree. A row without a prediction has no deviation.
     """
-    if not hasattr(model.model, "getNumTrees") or "GBT" in type(model.model).__name__:
+    if not isinstance(model.model, TreeModel) or model.model.kind != "forest":
         return None
-    spark = df.sparkSession
-    leaves = leaf_values(model, spark)
-    if int(model.model.totalNumNodes) > broadcast_leaves:
-        leaves = leaves.hint("merge")
-    scored_model = model.model.copy()
-    scored_model.setLeafCol("__leaves")
-    scored = Regressor(model.name, scored_model, model.features, model.label).transform(df)
-    path = scratch_path(spark, "interval-rows")  # written: the row numbers must not change between two reads
-    scored.withColumn("__leaves", vector_to_array("__leaves")).withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
-    scored = spark.read.parquet(path)
-    reached = scored.select("__row", PREDICTION, F.posexplode("__leaves").alias("tree", "leaf"))
-    off = F.col("value") - F.col(PREDICTION)
-    sums = (
-        reached.withColumn("leaf", F.col("leaf").cast("int"))
-        .join(leaves, ["tree", "leaf"])
-        .groupBy("__row")
-        .agg(F.sum(off).alias("__total"), F.sum(off * off).alias("__squares"))
-    )
-    scored = scored.join(sums, "__row")
-    n = int(model.model.getNumTrees)
-    variance = F.col("__squares") / n - F.pow(F.col("__total") / n, F.lit(2.0))
-    spread = F.when(variance.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), variance)))  # no prediction, no deviation
+    scored = model.complete(model.model.with_spread(df))
+    scored = scored.withColumn("prediction_std", F.when(F.col(PREDICTION).isNotNull(), F.col("prediction_std")))
     z = NormalDist().inv_cdf(1 - (1 - confidence) / 2)
     return (
-        scored.withColumn("prediction_std", spread)
-        .drop("__leaves", "__row", "__total", "__squares")
-        .withColumn("lower_bound", F.col(PREDICTION) - F.lit(z) * F.col("prediction_std"))
+        scored.withColumn("lower_bound", F.col(PREDICTION) - F.lit(z) * F.col("prediction_std"))
         .withColumn("upper_bound", F.col(PREDICTION) + F.lit(z) * F.col("prediction_std"))
         .withColumn("interval_width", F.lit(2 * z) * F.col("prediction_std"))
     )

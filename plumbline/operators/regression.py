@@ -11,18 +11,20 @@ from typing import Any
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.forest import PREDICTION, UNLIMITED, TreeEstimator, TreeModel
 from plumbline.operators.linear import cross_products, fold_rmse
 from plumbline.operators.neighbors import NearestNeighbors, NeighborModel
-from plumbline.operators.splitting import fold_column
+from plumbline.operators.splitting import fold_column, require_folds
 from plumbline.operators.stats import moments, spread
 from plumbline.session import small_frame
 
-FEATURES, PREDICTION = "__features", "prediction"
-MAX_DEPTH = 30  # the deepest tree Spark ML grows
+FEATURES = "__features"
+MAX_DEPTH = UNLIMITED
+TREES = ("random_forest", "gradient_boosting", "xgboost", "decision_tree")
 LINEAR = ("linear_regression", "ridge", "lasso", "elastic_net")
 
 # The registered models and their default parameters.
@@ -31,10 +33,10 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     "ridge": {"alpha": 1.0},
     "lasso": {"alpha": 1.0},
     "elastic_net": {"alpha": 1.0, "l1_ratio": 0.5},
-    "random_forest": {"n_estimators": 100, "max_depth": None, "min_samples_leaf": 1, "max_features": "all"},
+    "random_forest": {"n_estimators": 100, "max_depth": None, "min_samples_leaf": 1, "min_samples_split": 2, "max_features": "all"},
     "gradient_boosting": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0},
-    "xgboost": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6, "subsample": 0.8, "colsample": 0.8},
-    "decision_tree": {"max_depth": None, "min_samples_leaf": 1},
+    "xgboost": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6, "subsample": 0.8, "colsample": 0.8, "reg_alpha": 0.0, "reg_lambda": 1.0},
+    "decision_tree": {"max_depth": None, "min_samples_leaf": 1, "min_samples_split": 2},
     "svr": {"C": 1.0, "gamma": "scale", "components": 64},
     "knn": {"n_neighbors": 5},
 }
@@ -85,43 +87,11 @@ def make_elastic_net(params, ctx):
     return _linear(params, ctx, l1 + l2, l1 / (l1 + l2) if l1 + l2 else 0.0)
 
 
-def tree_depth(asked: int | None) -> int:
-    """None asks for the deepest tree Spark grows; more than that cannot be had."""
-    if asked is not None and not 0 <= asked <= MAX_DEPTH:
-        raise ValueError(f"max_depth must be None or from 0 to {MAX_DEPTH}")
-    return MAX_DEPTH if asked is None else asked
+def _trees(kind: str) -> Callable[[Mapping, FitContext], TreeEstimator]:
+    return lambda params, ctx: TreeEstimator(kind, params, ctx.features, ctx.label, ctx.ids, ctx.seed)
 
 
-def _tree_params(params, ctx) -> dict[str, Any]:
-    return {
-        "featuresCol": FEATURES,
-        "labelCol": ctx.label,
-        "maxDepth": tree_depth(params.get("max_depth")),
-        "minInstancesPerNode": params.get("min_samples_leaf", 1),
-        "maxBins": params.get("max_bins", 64),
-        "seed": ctx.seed,
-    }
-
-
-def make_decision_tree(params, ctx):
-    return DecisionTreeRegressor(**_tree_params(params, ctx))
-
-
-def make_random_forest(params, ctx):
-    return RandomForestRegressor(
-        numTrees=params["n_estimators"], featureSubsetStrategy=params.get("max_features", "all"), **_tree_params(params, ctx)
-    )
-
-
-def make_boosting(params, ctx):
-    share = params.get("colsample", 1.0)
-    return GBTRegressor(
-        maxIter=params["n_estimators"],
-        stepSize=params["learning_rate"],
-        subsamplingRate=params.get("subsample", 1.0),
-        featureSubsetStrategy="all" if share >= 1 else str(share),
-        **_tree_params(params, ctx),
-    )
+make_decision_tree, make_random_forest, make_boosting = _trees("tree"), _trees("forest"), _trees("boosted")
 
 
 def make_kernel(params, ctx):
@@ -196,19 +166,25 @@ class Regressor:
 
     def transform(self, df: DataFrame, column: str = PREDICTION) -> DataFrame:
         """Adds the prediction: NULL for a row that lacks a feature, whatever the model."""
-        if not isinstance(self.model, (NeighborModel, PipelineModel)):
+        if not isinstance(self.model, (NeighborModel, PipelineModel, TreeModel)):
             df = VectorAssembler(inputCols=self.features, outputCol=FEATURES, handleInvalid="keep").transform(df)
         df = self.model.transform(df).drop(FEATURES, "__kernel")
+        df = self.complete(df)
+        return df if column == PREDICTION else df.withColumnRenamed(PREDICTION, column)
+
+    def complete(self, df: DataFrame) -> DataFrame:
+        """NULL in place of the prediction of a row that lacks a feature."""
         complete = F.lit(True)
         for f in self.features:
             complete = complete & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
-        df = df.withColumn(PREDICTION, F.when(complete, F.col(PREDICTION)))
-        return df if column == PREDICTION else df.withColumnRenamed(PREDICTION, column)
+        return df.withColumn(PREDICTION, F.when(complete, F.col(PREDICTION)))
 
     def importance(self) -> tuple[str, dict[str, float]] | None:
         """(kind, {feature: importance}), strongest first; None where a model has none."""
         last = self.model.stages[-1] if isinstance(self.model, PipelineModel) else self.model
-        if hasattr(last, "featureImportances"):
+        if isinstance(last, TreeModel):
+            kind, values = "gini_importance", last.importances
+        elif hasattr(last, "featureImportances"):
             kind, values = "gini_importance", last.featureImportances.toArray()
         elif hasattr(last, "coefficients") and not isinstance(self.model, PipelineModel):
             kind, values = "coefficient_magnitude", np.abs(last.coefficients.toArray())
@@ -228,7 +204,7 @@ def fit_context(df: DataFrame, features: Sequence[str], label: str, ids: Sequenc
 def fit_regressor(name: str, params: Mapping, df: DataFrame, ctx: FitContext, factory=None) -> Regressor:
     """Fit one model. ``df`` may already hold the assembled vectors."""
     estimator = (factory or FACTORIES[name])(params, ctx)
-    if FEATURES in df.columns or isinstance(estimator, NearestNeighbors):
+    if FEATURES in df.columns or isinstance(estimator, (NearestNeighbors, TreeEstimator)):
         return Regressor(name, estimator.fit(df), list(ctx.features), ctx.label)
     vectors = assembled(df, ctx.features, ctx.label)
     if name in LINEAR:  # one scan
@@ -295,9 +271,14 @@ def cross_validate(
     factory=None,
     parallelism: int = 2,
 ) -> list[float]:
-    """RMSE per fold. Linear models need one pass for all folds; others are fitted per fold."""
+    """RMSE per fold. Linear models need one pass for all folds, the trees of all folds grow together; others are fitted per fold."""
     if name in LINEAR and factory is None:
-        return cv_linear(name, params, cross_products(df, features, label, F.col(fold)))
+        parts = cross_products(df, features, label, F.col(fold))
+        require_folds(parts, folds)
+        return cv_linear(name, params, parts)
+    if name in TREES and factory is None:
+        return FACTORIES[name](params, FitContext(label, list(features), 0, 0.0, seed, (), tuple(ids))).fold_rmse(df, fold, folds)
+    require_folds([r[0] for r in df.select(fold).distinct().collect()], folds)
 
     def one(held_out: int) -> float:
         rest = df.filter(F.col(fold) != held_out)

@@ -6,17 +6,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import equal_width_bin, numeric_columns
 from plumbline.functions.moments import pearson
+from plumbline.operators.cart import Growth
+from plumbline.operators.forest import Spec, grow_trees, packed_rows, summary
 from plumbline.operators.linear import cross_products, fold_rmse, solve, total
-from plumbline.operators.regression import tree_depth
 from plumbline.operators.splitting import fold_column
-from plumbline.operators.stats import moments, spread
+from plumbline.operators.stats import moments
 from plumbline.session import small_frame
 
 METHODS = ("f_test", "mutual_info", "rfe", "lasso")
@@ -146,28 +145,22 @@ class FeatureSelector:
         return dict(zip(features, map(float, np.abs(solve(everything, l1=best).coefficients))))
 
     def _rfe(self, df, label, features, k):
-        """Drop the least important feature of a forest until ``k`` are left; rank 1 is kept."""
+        """Drop the least important feature of a forest until ``k`` are left; rank 1 is kept. The rows are packed once for all forests."""
         left = list(features)
         rank = {}
-        data = spread(df.select(label, *features).dropna())
+        rows = packed_rows(df, features, label, self.ids)
+        how = Growth(max_depth=self.depth)
         try:
             while len(left) > k:
-                vectors = VectorAssembler(inputCols=left, outputCol="__features").transform(data)
-                forest = RandomForestRegressor(
-                    featuresCol="__features",
-                    labelCol=label,
-                    numTrees=self.trees,
-                    maxDepth=tree_depth(self.depth),
-                    featureSubsetStrategy="all",
-                    seed=self.seed,
-                ).fit(vectors)
-                importance = forest.featureImportances.toArray()
-                drop = sorted(range(len(left)), key=lambda i: importance[i])[: min(self.step, len(left) - k)]
+                use = tuple(features.index(f) for f in left)
+                specs = [Spec(len(left), t, self.seed, how, bootstrap=True, use=use) for t in range(self.trees)]
+                importance = summary(grow_trees(rows, specs), len(features), "forest")[2]
+                drop = sorted(range(len(left)), key=lambda i: importance[use[i]])[: min(self.step, len(left) - k)]
                 for i in sorted(drop, reverse=True):
                     rank[left[i]] = float(len(left) - k + 1)
                     left.pop(i)
         finally:
-            data.unpersist()
+            rows.blocks.unpersist()
         return {f: rank.get(f, 1.0) for f in features}
 
 

@@ -25,35 +25,25 @@ from plumbline.plans.frames import (
     sql_key,
     table,
 )
-from plumbline.session import path_exists, scratch_path, small_frame
+from plumbline.session import small_frame
 from plumbline.sources import artifacts
 
 registry = Registry()
 
-# Where this process has stored each default model, by session, files of the tables and name.
-_stored: dict[tuple, str] = {}
-
-
-def _files(spark, d) -> tuple:
-    """What tells one state of the training tables from another: number and hash of their files."""
-    seen = []
-    for name in ("lineitem", "part"):
-        meta = [f"_metadata.{m}" for m in ("file_path", "file_size", "file_modification_time")]
-        files = table(spark, d, name).select(*meta).distinct()
-        seen.append(tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first()))
-    return (d, *seen)
+def model_mark(spark, d) -> str:
+    """The fingerprint that models fitted to the training tables are published under."""
+    return artifacts.fingerprint([table(spark, d, name) for name in ("lineitem", "part")], d, REG_FEATURES, regression.DEFAULTS)
 
 
 def stored_model(spark, d, name) -> str:
-    """Where the registered model with its defaults is stored, fitted to the training rows at the first call."""
-    key = (spark.sparkContext.applicationId, _files(spark, d), name)
-    if key not in _stored or not path_exists(spark, _stored[key]):
+    """Where the registered model with its defaults is published, fitted to the training rows by the first process that asks."""
+
+    def build(path: str) -> None:
         train = reg_split(spark, d).filter("split = 'train'")
         ctx = fit_context(train, REG_FEATURES, "label", REG_IDS)
-        path = scratch_path(spark, f"default-{name}")
         artifacts.save_model(fit_regressor(name, regression.DEFAULTS[name], train, ctx), path)
-        _stored[key] = path
-    return _stored[key]
+
+    return artifacts.published(spark, f"model-{name}", model_mark(spark, d), build)
 
 
 def default_model(spark, d, name):

@@ -137,23 +137,25 @@ def _(spark, d):
 
 
 def _published(spark, d, names=tuple(DEFAULTS)):
-    """Store the default models and a manifest of their scores, and return (manifest path, test rows)."""
+    """Publish the default models and a manifest of their scores, unless another process has; return (manifest path, test rows)."""
     data = reg_split(spark, d)
     test = data.filter("split = 'test'")
-    columns = [*REG_IDS, *REG_FEATURES, "label", fold_column(REG_IDS).alias("fold")]
-    train = spread(data.filter("split = 'train'").select(*columns))
-    rows = []
-    try:
-        for name in names:
-            folds = cross_validate(name, DEFAULTS[name], train, REG_FEATURES, "label", "fold", 5, REG_IDS)
-            scores = default_model(spark, d, name).transform(test).agg(*basic_metrics("label", PREDICTION)).first()
-            mean = sum(folds) / len(folds)
-            rows.append((name, stored_model(spark, d, name), mean, scores["rmse"], scores["r2"], REG_FEATURES, REG_FEATURES))
-    finally:
-        train.unpersist()
-    path = f"{scratch_path(spark, 'models')}/manifest"
-    artifacts.write_manifest(spark, path, rows)
-    return path, test
+
+    def build(path: str) -> None:
+        columns = [*REG_IDS, *REG_FEATURES, "label", fold_column(REG_IDS).alias("fold")]
+        train = spread(data.filter("split = 'train'").select(*columns))
+        rows = []
+        try:
+            for name in names:
+                folds = cross_validate(name, DEFAULTS[name], train, REG_FEATURES, "label", "fold", 5, REG_IDS)
+                scores = default_model(spark, d, name).transform(test).agg(*basic_metrics("label", PREDICTION)).first()
+                mean = sum(folds) / len(folds)
+                rows.append((name, stored_model(spark, d, name), mean, scores["rmse"], scores["r2"], REG_FEATURES, REG_FEATURES))
+        finally:
+            train.unpersist()
+        artifacts.write_manifest(spark, path, rows)
+
+    return artifacts.published(spark, f"manifest-{'-'.join(names)}", model_mark(spark, d), build), test
 
 
 @registry.add("model_manifest")

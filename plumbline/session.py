@@ -47,6 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     cluster session without a shared folder is an error, since tasks on other
     machines could not read what was written.
     """
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The library's folder in the shared one, which other processes that name the same folder also see."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     base = base or context.getCheckpointDir()
@@ -55,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="plumbline-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/plumbline/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/plumbline"
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
@@ -78,3 +83,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table its owner no longer needs, in whatever file system it is."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Renames a folder in one step; False if the target is there already."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(target).getParent())
+    return not files.exists(path(target)) and files.rename(path(source), path(target))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import json
 from collections.abc import Callable, Sequence
 
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.cleaning import CapperModel, ImputerModel
 from plumbline.operators.engineering import FeatureEngineer, FeatureEngineerModel
+from plumbline.operators.forest import TreeModel
 from plumbline.operators.neighbors import NearestNeighbors, NeighborModel, Partition
 from plumbline.operators.regression import Regressor
 from plumbline.operators.scaling import ScalerModel
 from plumbline.operators.selection import FeatureFlowModel, SelectorModel
-from plumbline.session import path_exists, small_frame
+from plumbline.session import drop_path, move_path, path_exists, scratch_path, shared_folder, small_frame
 
 MANIFEST_DDL = (
     "model string, path string, cv_rmse double, test_rmse double, test_r2 double, "
@@ -36,13 +38,15 @@ def load_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def save_model(regressor: Regressor, path: str, metadata: DataFrame | None = None) -> None:
     """The model through its own writer, what it reads as a one-row table, results as JSON.
 
-    A neighbour model is its training table, with its settings and partition beside it.
+    A neighbour model is its training table, a forest its table of trees, with their settings beside them.
     """
     spark = SparkSession.active()
     if isinstance(regressor.model, NeighborModel):
         regressor.model.points.write.mode("overwrite").parquet(f"{path}/points")
         settings = small_frame(spark, [(json.dumps(_neighbor_settings(regressor.model)),)], "settings string")
         settings.write.mode("overwrite").parquet(f"{path}/neighbors")
+    elif isinstance(regressor.model, TreeModel):
+        regressor.model.save(f"{path}/forest")
     else:
         regressor.model.write().overwrite().save(f"{path}/model")
     row = (regressor.name, regressor.label, list(regressor.features))
@@ -55,6 +59,8 @@ def load_model(spark: SparkSession, path: str) -> Regressor:
     row = spark.read.parquet(f"{path}/reads").first()
     if path_exists(spark, f"{path}/neighbors"):
         model = _load_neighbors(spark, path)
+    elif path_exists(spark, f"{path}/forest"):
+        model = TreeModel.load(spark, f"{path}/forest")
     else:
         model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
     return Regressor(row["name"], model, list(row["features"]), row["label"])
@@ -141,3 +147,27 @@ def ensure_artifacts(spark: SparkSession, manifest_path: str, required: Sequence
     if stale:
         retrain()
     return stale
+
+
+def fingerprint(frames: Sequence[DataFrame], *more) -> str:
+    """A text that changes with the files of the tables read, or with anything else given."""
+    seen = []
+    for df in frames:
+        files = df.select(*[f"_metadata.{m}" for m in ("file_path", "file_size", "file_modification_time")]).distinct()
+        seen.append(tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first()))
+    return hashlib.sha256(json.dumps([seen, more], sort_keys=True, default=str).encode()).hexdigest()[:24]
+
+
+def published(spark: SparkSession, name: str, mark: str, build: Callable[[str], None]) -> str:
+    """Where ``name`` is stored for a fingerprint in the shared folder; ``build(path)`` stores it if no process has.
+
+    It is built in a folder of its own and renamed when it is whole, so a reader never sees a part of it, and of two
+    processes that build it at once one is kept.
+    """
+    path = f"{shared_folder(spark)}/published/{mark}/{name}"
+    if not path_exists(spark, path):
+        draft = scratch_path(spark, f"draft-{name}")
+        build(draft)
+        if not move_path(spark, draft, path):
+            drop_path(spark, draft)
+    return path

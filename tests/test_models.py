@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import row_key
-from plumbline.operators import evaluation, regression, scoring, tuning
+from plumbline.operators import evaluation, forest, regression, scoring, tuning
 from plumbline.operators.linear import cross_products, fold_rmse, solve, total
 from plumbline.operators.neighbors import NearestNeighbors
 from plumbline.operators.regression import DEFAULTS, PREDICTION, ModelTrainer, fit_context, fit_regressor
@@ -183,9 +183,10 @@ def test_incomplete_rows_have_no_prediction_and_no_metric(spark, data):
 
 
 def test_depth_that_cannot_be_had_is_refused():
-    assert regression.tree_depth(None) == 30 and regression.tree_depth(0) == 0
+    assert forest.growth({"max_depth": None}, 3).max_depth is None and forest.growth({"max_depth": 0}, 3).max_depth == 0
+    assert forest.growth({"max_depth": 31}, 3).max_depth == 31  # no deepest tree
     with pytest.raises(ValueError):
-        regression.tree_depth(31)
+        forest.growth({"max_depth": -1}, 3)
 
 
 def hand_predictions(spark):

@@ -26,7 +26,7 @@ def test_queries_fit_the_defaults(spark, sf, monkeypatch):
         raise InterruptedError
 
     monkeypatch.setattr(model_queries, "fit_regressor", fit)
-    monkeypatch.setattr(model_queries, "_stored", {}, raising=False)
+    monkeypatch.setattr(model_queries, "model_mark", lambda spark, d: "none-published")
     for key, name in {
         "ml_random_forest": "random_forest",
         "ml_gbt": "gradient_boosting",
@@ -100,14 +100,14 @@ def test_searches_take_their_default_settings(spark, sf, monkeypatch):
 def test_elimination_forests_have_their_full_size(spark, sf, monkeypatch):
     asked = []
 
-    def forest(**params):
-        asked.append(params)
+    def trees(rows, specs):
+        asked.extend(specs)
         raise InterruptedError
 
-    monkeypatch.setattr(selection, "RandomForestRegressor", forest)
+    monkeypatch.setattr(selection, "grow_trees", trees)
     with pytest.raises(InterruptedError):
         feature_queries.registry.queries["select_rfe"](spark, sf)
-    assert asked[0]["maxDepth"] == MAX_DEPTH and asked[0]["numTrees"] == 50
+    assert len(asked) == 50 and all(s.bootstrap and s.how.max_depth is None for s in asked)
 
 
 def test_residual_report_has_every_model(spark, sf):
