@@ -26,7 +26,7 @@ from plumbline.plans.frames import (
 )
 from plumbline.plans.cleaning_queries import DIRTY_ALL, DIRTY_FEATURES, PREPARED_SQL
 from plumbline.plans.feature_queries import CANDIDATES, WIDE_SQL, f_test_sql
-from plumbline.plans.model_queries import BASIC_SQL, OLS2_TRAIN_SQL, default_model, stored_model
+from plumbline.plans.model_queries import BASIC_SQL, OLS2_TRAIN_SQL, default_model, model_mark, stored_model
 from plumbline.plans.preprocess import Preprocessor
 from plumbline.session import scratch_path
 from plumbline.sources import artifacts, tables
