@@ -19,7 +19,7 @@ from plumbline.llm.near_vectors import near_vectors
 from plumbline.llm.pieces import encode_pieces
 from plumbline.llm.quality import judge
 from plumbline.llm.resample import resample
-from plumbline.llm.token_counts import count_after_edits, mask_edits
+from plumbline.llm.token_counts import count_masked
 from plumbline.llm.tool_calls import link_calls
 from plumbline.llm.topk import top_k
 from plumbline.llm.url_filter import filter_urls
@@ -45,9 +45,8 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edited = mask_edits(table(spark, sf_dir, "documents"))
-    counted = count_after_edits(edited, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    return counted.withColumnRenamed("id", "doc_id").withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    counted = count_masked(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return counted
 
 
 #: What assistant turns are taken to call, by the parity of their exchange.

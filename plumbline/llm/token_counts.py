@@ -8,7 +8,9 @@ those after it up to the next common cut are encoded again; the sums above them
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator, Mapping
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ MASKS = {
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}": "[email]",
     r"\+?\d[\d ().-]{7,}\d": "[number]",
 }
+#: What every match of a mask holds.
+NEEDED = {next(iter(MASKS)): "@"}
 EDITS = "array<struct<start:int,stop:int,text:string>>"
 SLICE = 4 << 20
 
@@ -52,13 +56,17 @@ class TokenCounter(dict):
 
 
 class CountedText:
-    """A text with the segment tree of its pre-tokens. After edits a leaf may hold several, or none."""
+    """A text with the segment tree of its pre-tokens, built at the first edit. After edits a leaf may hold several, or none."""
 
     def __init__(self, text: str, counter: TokenCounter):
-        self.counter = counter
-        self.leaves: list[list[str]] = [[p] for p in counter.cut(text)] or [[]]
+        self.counter, self.recounted, self.leaves = counter, 0, []
+        self.pieces = counter.cut(text)
+        self.n_chars, self.n_tokens = len(text), sum(map(counter.__getitem__, self.pieces))
+
+    def _build(self) -> None:
+        counter = self.counter
+        self.leaves: list[list[str]] = [[p] for p in self.pieces] or [[]]
         self.base = 1 << (len(self.leaves) - 1).bit_length()
-        self.recounted = 0
         chars, tokens = np.zeros(2 * self.base, np.int64), np.zeros(2 * self.base, np.int64)
         for sums, of in ((chars, len), (tokens, counter.__getitem__)):
             sums[self.base : self.base + len(self.leaves)] = [sum(map(of, leaf)) for leaf in self.leaves]
@@ -68,16 +76,8 @@ class CountedText:
                 low //= 2
         self.chars, self.tokens = chars.tolist(), tokens.tolist()
 
-    @property
-    def n_chars(self) -> int:
-        return self.chars[1]
-
-    @property
-    def n_tokens(self) -> int:
-        return self.tokens[1]
-
     def text(self) -> str:
-        return "".join(p for leaf in self.leaves for p in leaf)
+        return "".join(p for leaf in self.leaves for p in leaf) if self.leaves else "".join(self.pieces)
 
     def _leaf_at(self, at: int) -> tuple[int, int]:
         """The leaf that holds a character, and where that leaf begins (the last leaf with text, for the end)."""
@@ -99,9 +99,12 @@ class CountedText:
             node //= 2
             self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
             self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
+        self.n_chars, self.n_tokens = self.chars[1], self.tokens[1]
 
     def edit(self, start: int, stop: int, text: str) -> None:
         """Puts ``text`` in place of the characters from ``start`` to ``stop`` (clipped to what there is)."""
+        if not self.leaves:
+            self._build()
         start = min(max(start, 0), self.n_chars)
         stop = min(max(stop, start), self.n_chars)
         first, begins = self._leaf_at(max(start - AHEAD, 0))
@@ -136,30 +139,68 @@ class CountedText:
                 self._set(i, [])
 
 
+class Masks:
+    """Finds what the masks match, and gives it as edits: last first, so that positions hold.
+
+    A mask is only looked for where a text holds what all its matches do.
+    """
+
+    def __init__(self, masks: Mapping[str, str]):
+        self.masks, self.kept = dict(masks), {}
+
+    def edits(self, text: str) -> list[tuple[int, int, str]]:
+        able = tuple(m for m in self.masks if NEEDED.get(m, "") in text)
+        if able not in self.kept:
+            self.kept[able] = re.compile("|".join(f"({m})" for m in able)).finditer if able else lambda _: ()
+        return [(m.start(), m.end(), self.masks[able[m.lastindex - 1]]) for m in self.kept[able](text)][::-1]
+
+
 def masking_edits(masks: Mapping[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds ``edits``: every match of a mask is replaced, last first, so that positions hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = regex.compile("|".join(f"({m})" for m in masks)).finditer
-        instead = list(masks.values())
+        finder = Masks(masks)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("text", pa.string())]))
         for batch in batches:
-            found = [
-                [{"start": m.start(), "stop": m.end(), "text": instead[m.lastindex - 1]} for m in matches(text or "")][::-1]
-                for text in (t.as_py() for t in batch.column("text"))
-            ]
+            found = [[dict(zip(("start", "stop", "text"), e)) for e in finder.edits(t.as_py() or "")] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "edits"])
 
     return run
 
 
+def _counter(ranks: bytes, pattern: str) -> TokenCounter:
+    kept = vars(tiktoken).setdefault("_token_counters", {})  # a worker's later tasks find what it remembers
+    if (ranks, pattern) not in kept:
+        kept.clear()
+        kept[ranks, pattern] = TokenCounter(ranks, pattern)
+    return kept[ranks, pattern]
+
+
+def masked_counter(ranks: bytes, pattern: str, masks: Mapping[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over ``id, text``: counts before and after the edits that mask, and the digest of the edited text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, finder = _counter(ranks, pattern), Masks(masks)
+        names = ["n_tokens_before", "n_edits", "n_recounted", "n_tokens", "edited_sha256"]
+        for batch in batches:
+            rows = []
+            for t in batch.column("text"):
+                text = t.as_py() or ""
+                counted, edits = CountedText(text, counter), finder.edits(text)
+                before = counted.n_tokens
+                for e in edits:
+                    counted.edit(*e)
+                edited = counted.text() if edits else text
+                rows.append((before, len(edits), counted.recounted, counted.n_tokens, sha256(edited.encode()).hexdigest()))
+            columns = zip(zip(*rows) if rows else [()] * 5, [pa.int64()] * 4 + [pa.string()])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c, k) for c, k in columns)], names=["id", *names])
+
+    return run
+
+
 def edit_counter(ranks: bytes, pattern: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = vars(tiktoken).setdefault("_token_counters", {})  # a worker's later tasks find what it remembers
-        counter = kept.get((ranks, pattern))
-        if counter is None:
-            kept.clear()
-            counter = kept[ranks, pattern] = TokenCounter(ranks, pattern)
+        counter = _counter(ranks, pattern)
         names = ["id", "n_tokens_before", "n_edits", "n_recounted", "n_tokens", "edited"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         for batch in batches:
@@ -199,3 +240,12 @@ def count_after_edits(edited: DataFrame, ranks_path: str, pattern: str, id_col:
     base = edited.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(edits_col).cast(EDITS).alias("edits"))
     schema = f"id {dict(base.dtypes)['id']}, n_tokens_before long, n_edits long, n_recounted long, n_tokens long, edited string"
     return base.mapInArrow(edit_counter(ranks, pattern), schema).withColumnRenamed("id", id_col)
+
+
+def count_masked(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", masks: Mapping[str, str] = MASKS) -> DataFrame:
+    """``mask_edits`` and ``count_after_edits`` in one pass, with ``edited_sha256`` in place of the edited text."""
+    with open(ranks_path, "rb") as file:
+        ranks = file.read()
+    base = pack(docs, id=id_col, text=text_col).select("id", "text")
+    schema = f"id {dict(base.dtypes)['id']}, n_tokens_before long, n_edits long, n_recounted long, n_tokens long, edited_sha256 string"
+    return base.mapInArrow(masked_counter(ranks, pattern, masks), schema).withColumnRenamed("id", id_col)
