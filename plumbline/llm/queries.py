@@ -16,7 +16,7 @@ from plumbline.llm.line_dedup import dedup_lines
 from plumbline.llm.merkle import digest, folded, manifest, siblings
 from plumbline.llm.mixing import mix
 from plumbline.llm.near_vectors import near_vectors
-from plumbline.llm.pieces import encode_pieces
+from plumbline.llm.pieces import piece_digests
 from plumbline.llm.quality import judge
 from plumbline.llm.resample import resample
 from plumbline.llm.token_counts import count_masked
@@ -89,11 +89,7 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
-    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
