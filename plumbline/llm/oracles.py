@@ -152,8 +152,8 @@ answers AS (
   SELECT conv_id, 'call-' || (turn - 1) AS call_id, min(text) AS result, count(*) AS n_results FROM conversations
   WHERE role = 'user' AND turn > 0 GROUP BY ALL),
 levels AS (
-  SELECT conv_id, turn, 0 AS level FROM once c WHERE (turn // 2) % 4 = 0 OR NOT EXISTS (SELECT 1 FROM once p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
-  UNION ALL SELECT c.conv_id, c.turn, level + 1 FROM levels l JOIN once c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2 WHERE (c.turn // 2) % 4 <> 0),
+  SELECT conv_id, turn, 0 AS level FROM once c WHERE NOT EXISTS (SELECT 1 FROM once p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL SELECT c.conv_id, c.turn, level + 1 FROM levels l JOIN once c ON c.conv_id = l.conv_id AND c.turn = l.turn + 2),
 checked AS (
   SELECT *, list_filter([CASE WHEN a.n < 1 THEN '$.n_words: below minimum' END, CASE WHEN name = 'search' AND a.n > 40 THEN '$.n_words: above maximum' END,
     CASE WHEN a.t IS NULL THEN '$.query: missing' END, CASE WHEN a.t = '' THEN '$.query: too short' END], lambda x: x IS NOT NULL) AS found

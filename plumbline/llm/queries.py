@@ -64,7 +64,7 @@ TOOLS = {
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every assistant turn as a call, every user turn after the first as the result of the call before it.
 
-    A call depends on the one of the exchange before, but for each fourth exchange, which starts anew.
+    A call depends on the one of the exchange before, through the whole conversation.
     """
     talk = table(spark, sf_dir, "conversations")
     name = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
@@ -73,7 +73,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = talk.where("role = 'assistant'").select(
         "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.when(exchange % 2 == 0, "search").otherwise("answer").alias("name"),
         F.to_json(F.struct(F.col("text").alias("query"), n_words.alias("n_words"))).alias("arguments"),
-        F.when(exchange % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(name(F.col("turn") - 2))).alias("depends_on"),
+        F.array(name(F.col("turn") - 2)).alias("depends_on"),
     )
     results = talk.where("role = 'user' AND turn > 0").select("conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return link_calls(calls, results, TOOLS)

@@ -100,24 +100,50 @@ def call_formatter(schemas: Mapping[str, Mapping[str, Any]]):
 
 
 def call_levels(calls: DataFrame) -> DataFrame:
-    """``conv_id, call_id, level`` of calls with ``depends_on``: 0 without a known dependency, -1 on or behind a cycle."""
-    nodes = settle(calls.select("conv_id", "call_id").distinct())
-    edges = calls.select("conv_id", "call_id", F.explode("depends_on").alias("parent")).distinct()
-    parents = nodes.select(F.col("conv_id").alias("c"), F.col("call_id").alias("p"))
-    edges = settle(edges.join(parents, (F.col("conv_id") == F.col("c")) & (F.col("parent") == F.col("p"))).select("conv_id", "call_id", "parent"))
+    """``conv_id, call_id, level`` of calls with ``depends_on``: 0 without a known dependency, -1 on or behind a cycle.
+
+    A call with one known dependency points to it; pointers are doubled until they reach a call with none or several (its
+    head), so a chain of any length takes a logarithmic number of rounds. Only calls with several are then settled one
+    after the other, by the heads of what they depend on.
+    """
     key = ["conv_id", "call_id"]
-    levels = settle(nodes.join(edges.select(key).distinct(), key, "left_anti").withColumn("level", F.lit(0)))
-    while not edges.isEmpty():
-        known = levels.select("conv_id", F.col("call_id").alias("parent"), "level")
-        state = edges.join(known, ["conv_id", "parent"], "left").groupBy(key).agg(
-            F.count("*").alias("n"), F.count("level").alias("known"), F.max("level").alias("most")
+    nodes = settle(calls.select(*key).distinct())
+    edges = calls.select(*key, F.explode("depends_on").alias("parent")).distinct()
+    parents = nodes.select(F.col("conv_id").alias("c"), F.col("call_id").alias("p"))
+    edges = settle(edges.join(parents, (F.col("conv_id") == F.col("c")) & (F.col("parent") == F.col("p"))).select(*key, "parent"))
+    counted = edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("parent").alias("parent"))
+    one = F.col("n") == 1
+    ways = nodes.join(counted, key, "left").select(
+        *key, F.coalesce("n", F.lit(0)).alias("n"), F.when(one, F.col("parent")).otherwise(F.col("call_id")).alias("head"),
+        F.when(one, 1).otherwise(0).alias("far"), (~F.coalesce(one, F.lit(False))).alias("done"),
+    )
+    ways = settle(ways)
+    longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest.bit_length() + 1):  # what has not reached a head by then goes round in a circle
+        if ways.where("NOT done").isEmpty():
+            break
+        ahead = ways.select(F.col("conv_id").alias("c"), F.col("call_id").alias("p"), F.col("head").alias("next"), F.col("far").alias("more"), F.col("done").alias("ends"))
+        met = ways.where("NOT done").join(ahead, (F.col("conv_id") == F.col("c")) & (F.col("head") == F.col("p")))
+        met = met.select(*key, "n", F.col("next").alias("head"), (F.col("far") + F.col("more")).alias("far"), F.col("ends").alias("done"))
+        ways = settle(ways.where("done").unionByName(met))
+    levels = settle(ways.where("n = 0").select(*key, F.lit(0).alias("level")))
+    several = edges.join(ways.where("n > 1").select(*key), key)
+    behind = ways.select(F.col("conv_id").alias("c"), F.col("call_id").alias("p"), F.when(F.col("done"), F.col("head")).alias("head"), "far")
+    open_ = settle(several.join(behind, (F.col("conv_id") == F.col("c")) & (F.col("parent") == F.col("p"))).select(*key, "head", "far"))
+    while not open_.isEmpty():
+        known = levels.select("conv_id", F.col("call_id").alias("head"), "level")
+        state = open_.join(known, ["conv_id", "head"], "left").groupBy(*key).agg(
+            F.count("*").alias("n"), F.count("level").alias("known"), F.max(F.col("level") + F.col("far")).alias("most")
         )
         ready = settle(state.where("n = known").select(*key, (F.col("most") + 1).alias("level")))
         if ready.isEmpty():
             break
         levels = settle(levels.unionByName(ready))
-        edges = settle(edges.join(ready.select(key), key, "left_anti"))
-    return levels.unionByName(edges.select(*key, F.lit(-1).alias("level")).distinct())
+        open_ = settle(open_.join(ready.select(*key), key, "left_anti"))
+    heads = levels.select(F.col("conv_id").alias("c"), F.col("call_id").alias("p"), "level")
+    reached = F.col("done") & F.col("level").isNotNull()
+    found = ways.join(heads, (F.col("conv_id") == F.col("c")) & (F.col("head") == F.col("p")), "left")
+    return found.select(*key, F.when(reached, F.col("level") + F.col("far")).otherwise(-1).cast("int").alias("level"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, Any]]) -> DataFrame:
