@@ -19,8 +19,6 @@ from plumbline.llm.common import settle
 
 #: Vectors in a shard (the memory of a task) and in a leaf.
 SHARD_ROWS, LEAF_ROWS = 2048, 48
-#: Components beyond this cannot be scored in 64 bits; such vectors take no part.
-LARGEST = 2.0**24
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -29,8 +27,9 @@ class BallTree:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows, self.nodes = ids, rows, []
-        self.whole = float(np.square(rows).sum(axis=1).max(initial=0)) < 2.0**52  # products are exact in doubles
-        self._grow(np.arange(len(ids)))
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.longest = float(np.sqrt(np.square(rows).sum(axis=1)).max(initial=0))
+            self._grow(np.arange(len(ids)))
 
     def _grow(self, at: np.ndarray) -> int:
         rows = self.rows[at]
@@ -38,7 +37,7 @@ class BallTree:
         away = np.sqrt(np.square(rows - centre).sum(axis=1))
         me, radius = len(self.nodes), float(away.max())
         self.nodes.append((centre, radius, at, None))
-        if len(at) > LEAF_ROWS and radius > 0:
+        if len(at) > LEAF_ROWS and 0 < radius < np.inf:
             one = rows[int(away.argmax())]
             two = rows[int(np.square(rows - one).sum(axis=1).argmax())]
             side = rows @ (one - two)
@@ -46,14 +45,30 @@ class BallTree:
             self.nodes[me] = (centre, radius, None, (self._grow(at[order[: len(at) // 2]]), self._grow(at[order[len(at) // 2 :]])))
         return me
 
+    def _scores(self, at: np.ndarray, query: np.ndarray, length: float) -> np.ndarray:
+        """Exact inner products: in doubles or 64 bits where norms show that they fit, else in Python's whole numbers."""
+        most = self.longest * length
+        if most < 2.0**52:
+            return (self.rows[at] @ query).astype(np.int64)
+        if most < 2.0**62 and max(self.longest, length) < 2.0**62:
+            return self.rows[at].astype(np.int64) @ query.astype(np.int64)
+        asked = [int(x) for x in query]
+        scores = [sum(int(a) * b for a, b in zip(row, asked)) for row in self.rows[at].tolist()]
+        if any(not -(2**63) <= s < 2**63 for s in scores):
+            raise OverflowError("a score does not fit 64 bits")
+        return np.array(scores, np.int64)
+
     def search(self, own: int, query: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
         """``(score, id)`` of the k best, ties to smaller ids, that reach ``floor``; never the row's own id."""
-        length = float(np.sqrt(query @ query))
+        with np.errstate(over="ignore", invalid="ignore"):
+            length = float(np.sqrt(query @ query))
 
         def bound(node: int) -> float:
             centre, radius, _, _ = self.nodes[node]
-            top = float(centre @ query) + radius * length
-            return top + 1e-9 * (abs(top) + radius * length + length) + 1e-6
+            with np.errstate(over="ignore", invalid="ignore"):
+                top = float(centre @ query) + radius * length
+                slack = 1e-9 * (float(np.abs(centre) @ np.abs(query)) + radius * length + length) + 1e-6
+            return top + slack if np.isfinite(top + slack) else np.inf  # beyond doubles: always looked into
 
         best: list[tuple[int, int]] = []
         queue = [(-bound(0), 0)]
@@ -67,10 +82,7 @@ class BallTree:
                 for part in parts:
                     heapq.heappush(queue, (-bound(part), part))
                 continue
-            if self.whole and length < 2.0**26:
-                scores = (self.rows[at] @ query).astype(np.int64)
-            else:
-                scores = self.rows[at].astype(np.int64) @ query.astype(np.int64)
+            scores = self._scores(at, query, length)
             for i in np.flatnonzero(scores >= least) if least is not None else range(len(at)):
                 entry = (int(scores[i]), -int(self.ids[at[i]]))
                 if -entry[1] == own:
@@ -122,11 +134,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     """``query_id, rank, vec_id, score``: the ``k`` best rows for each query, by integer inner product.
 
     A component x counts as floor(256 x). Every row but those of the query's own id is a candidate; ties go to the
-    smaller id. Rows without an id, and vectors that are null, hold null or non-finite components or
-    exceed ``LARGEST``, take no part. Only vectors of the same length are compared. A repeated id is one query
+    smaller id. Rows without an id, and vectors that are null or hold null or non-finite components, take no part;
+    components may be of any size, and a score that does not fit 64 bits is an error. Only vectors of the same length are compared. A repeated id is one query
     (its smallest vector) and as many candidates as it has rows. Fewer than ``k`` candidates are all returned.
     """
-    ok: Column = F.col("id").isNotNull() & F.forall("vec", lambda x: F.coalesce(F.abs(x) <= LARGEST, F.lit(False)) & ~F.isnan(x))
+    ok: Column = F.col("id").isNotNull() & F.forall("vec", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
     clean = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(ok)
     rows, asked = clean(vectors), settle(clean(queries).groupBy("id").agg(F.min("vec").alias("vec")))
     shards = max(1, -(-rows.count() // shard_rows))
