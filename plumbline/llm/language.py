@@ -7,10 +7,10 @@ alone, so that a long text cannot become its own dictionary; the blocks cover th
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,14 +19,16 @@ from pyspark.sql.types import StructType
 from plumbline.llm.common import pack, unpack
 
 UNKNOWN = "und"
-#: Bounds of what is learned from: texts of a language, the characters of each, and the number of languages.
+#: Bounds of what is learned from: texts of a language, and the characters of each.
 #: Many short parts of different texts: a copy of one of them gains little.
-SAMPLE_TEXTS, SAMPLE_CHARS, LANGUAGES = 512, 100, 400
+SAMPLE_TEXTS, SAMPLE_CHARS = 512, 100
+#: Languages whose dictionaries (50 KB each) a task can hold; with more, learning fails rather than leave one out.
+LANGUAGES = 2_000
 #: Bytes of text that are compressed at once, and at least: below, zstandard stores instead of compressing.
 BLOCK, LEAST = 4096, 256
 #: The least difference between the best two, as a part of the best.
 MARGIN = 0.005
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: ASCII other than letters.
 NO_LETTER = bytes(c for c in range(128) if not chr(c).isalpha())
 SPACED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -45,14 +47,16 @@ def letters(text: str) -> bytes:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """A dictionary per language, from ``SAMPLE_TEXTS`` of its texts (by hash of the id) outside the held-out rows.
 
-    At most ``LANGUAGES`` languages, the most frequent first: what reaches the driver is bounded by
-    languages times the sample.
+    Every language is learned: what reaches the driver is bounded by languages times the sample. More than
+    ``LANGUAGES`` of them are an error.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("id")))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    common = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
     if not common:
         return {}
+    if len(common) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages to learn")
     # Four times the sample passes by hash, so what is ordered does not grow with the rows or partitions.
     reach = F.create_map(*[F.lit(x) for r in common for x in (r["lang"], min(1.0, 4 * SAMPLE_TEXTS / r["count"]))])
     key = F.xxhash64("id", "text")
