@@ -1,12 +1,14 @@
 """Operators on small fixtures: definitions, skewed inputs, general interfaces."""
 
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import jaccard, mixing, quality, topk
+from plumbline.llm import jaccard, language, mixing, quality, topk
 from plumbline.llm.components import components
 from plumbline.llm.language import classifier
 from plumbline.llm.line_dedup import drop_shared_lines
@@ -209,3 +211,62 @@ def test_canonical_order_and_schema_kinds():
     assert canonical({"\ufb33": 1, "\U0001f600": 2, "a": [1e3, 0.5, None, True]}) == '{"a":[1000,0.5,null,true],"\U0001f600":2,"\ufb33":1}'
     assert faults([1, "x"], {"type": "array", "items": {"type": ["integer", "null"]}}) == ["$[1]: not ['integer', 'null']"]
     assert faults({"a": 1}, {"properties": {}, "additionalProperties": False}) == ["$.a: not expected"]
+
+
+def test_top_k_keeps_components_of_any_size(spark):
+    rows = [(0, [2.0**40, 3.0]), (50, [5.0, 2.0**40]), (1, [7.0, -1.5]), (2, [-(2.0**30), 2.0**12]), (100, [2.0**26, 2.0**27]), (3, [2.0**26, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    asked = [(50, [0.5, 0.25]), (0, [0.25, 2.0])]
+    queries = spark.createDataFrame(asked, "vec_id long, embedding array<double>")
+    want = []
+    for q, v in asked:
+        w = [int(np.floor(256 * x)) for x in v]
+        scored = sorted((-sum(a * b for a, b in zip(w, whole[i])), i) for i in whole if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, topk.top_k(vectors, queries, 5, shard_rows=2).collect())) == sorted(want)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(vectors, vectors.where("vec_id = 0"), 5).collect()
+
+
+def test_deep_chains_and_branches_have_their_levels(spark):
+    calls = [(1, t, f"c{t}", "search", "{}", [f"c{t - 1}"] if t else []) for t in range(300)]  # a chain
+    calls += [(2, t, f"c{t}", "search", "{}", [f"c{p}" for p in {t // 2, t - 1, t - 7} if 0 <= p < t]) for t in range(40)]  # several dependencies
+    calls += [(3, t, f"c{t}", "search", "{}", [f"c{(t + 1) % 5}"] if t < 5 else [f"c{t - 1}"]) for t in range(9)]  # a circle and what is behind it
+    frame = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id long, call_id string, content string")
+    got = {(r["conv_id"], r["turn"]): r["level"] for r in link_calls(frame, results, {}).collect()}
+    want = {(1, t): t for t in range(300)} | {(3, t): -1 for t in range(9)}
+    for t in range(40):
+        want[2, t] = max((want[2, p] + 1 for p in {t // 2, t - 1, t - 7} if 0 <= p < t), default=0)
+    assert got == want
+
+
+def test_languages_by_sizes_computed_apart(spark):
+    """Dictionaries and sizes from their definition: samples by hash, blocks compressed with a dictionary each."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    extra = [(9001, "½ ² Ⅷ 123 ¼", "en"), (9002, "١٢٣ ⑦", "de"), (9003, None, "en"), (9004, "", "en"), (9005, "ª", None)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).cache()
+    learned = [r for r in docs.withColumn("key", F.xxhash64("doc_id", "text")).collect() if r["lang"] and r["text"] and re.search(r"[^\W\d_]", r["text"])]
+    known = {}
+    for r in sorted(learned, key=lambda r: (r["lang"], r["key"])):
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["doc_id"] < 9000:
+            known.setdefault(r["lang"], []).append(re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+", b" ", r["text"][:100].lower().encode()).strip())
+    dictionaries = {lang: b" ".join(parts) for lang, parts in known.items()}
+    assert dictionaries == language.learn(docs)
+    wrong = 0
+    for r in language.identify(docs, dictionaries).join(docs, "doc_id").collect():
+        if r["doc_id"] >= 9000:
+            assert (r["lang_pred"] == "und") == (r["doc_id"] != 9005), r["doc_id"]
+            continue
+        raw = re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+", b" ", r["text"].lower().encode()).strip()
+        raw = b" ".join([raw] * (1 if len(raw) >= 256 else 256 // (len(raw) + 1) + 1))
+        sizes = {}
+        for lang, content in dictionaries.items():
+            how = zstandard.ZstdCompressionParameters.from_level(9, source_size=4096, dict_size=len(content), write_content_size=False, strategy=zstandard.STRATEGY_LAZY2, min_match=4, search_log=4)
+            coder = zstandard.ZstdCompressor(compression_params=how, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            sizes[lang] = sum(len(coder.compress(raw[i : i + 4096])) for i in range(0, len(raw), 4096))
+        wrong += r["lang_pred"] != min(sizes, key=lambda k: (sizes[k], k))
+    assert wrong == 0
