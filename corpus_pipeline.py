@@ -23,7 +23,6 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not in doubt."""
-    dictionaries = language.learn(docs)
     return language.accept(docs, language.learn(docs))
 
 
