@@ -8,6 +8,7 @@ searches the shard it lives in; the k-th score found there travels with it to al
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,14 +62,16 @@ class BallTree:
     def search(self, own: int, query: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
         """``(score, id)`` of the k best, ties to smaller ids, that reach ``floor``; never the row's own id."""
         with np.errstate(over="ignore", invalid="ignore"):
-            length = float(np.sqrt(query @ query))
+            return self._search(own, query, k, floor)
+
+    def _search(self, own: int, query: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
+        length = float(np.sqrt(query @ query))
+        slack = 1e-9 * (self.longest * length + length) + 1e-6  # what rounding can take from a bound
 
         def bound(node: int) -> float:
             centre, radius, _, _ = self.nodes[node]
-            with np.errstate(over="ignore", invalid="ignore"):
-                top = float(centre @ query) + radius * length
-                slack = 1e-9 * (float(np.abs(centre) @ np.abs(query)) + radius * length + length) + 1e-6
-            return top + slack if np.isfinite(top + slack) else np.inf  # beyond doubles: always looked into
+            top = float(centre @ query) + radius * length + slack
+            return top if math.isfinite(top) else math.inf  # beyond doubles: always looked into
 
         best: list[tuple[int, int]] = []
         queue = [(-bound(0), 0)]
