@@ -635,6 +635,12 @@ class TreeModel:
     def getNumTrees(self) -> int:  # noqa: N802
         return self.n_trees
 
+    @property
+    def trees(self) -> list["TreeModel"]:
+        """Each tree of a forest as a model of its own."""
+        alone = {"kind": "tree", "n_trees": 1, "scale": 1.0}
+        return [dataclasses.replace(self, table=self.table.where(F.col("tree") == t), **alone) for t in range(self.n_trees)]
+
     def transform(self, df: DataFrame) -> DataFrame:
         return self.scored(df).drop("__s0", "__q")
 

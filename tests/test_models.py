@@ -217,14 +217,15 @@ def test_durbin_watson_over_runs(spark, partitions):
     assert got == pytest.approx(want, rel=1e-12)
 
 
-def test_forest_intervals_match_single_trees(spark, data):
+def test_forest_intervals_match_single_trees(spark, data, monkeypatch):
     params = {**DEFAULTS["random_forest"], "n_estimators": 7, "max_depth": 5}
     ctx = fit_context(data, FEATURES, "y")
     model = fit_regressor("random_forest", params, data, ctx)
     vectors = regression.VectorAssembler(inputCols=FEATURES, outputCol=regression.FEATURES).transform(data)
     trees = np.array([[r[0] for r in t.transform(vectors).orderBy("row_id").select("prediction").collect()] for t in model.model.trees])
-    for limit in (8_000_000, 10):
-        rows = evaluation.prediction_intervals(model, data, broadcast_leaves=limit).orderBy("row_id").collect()
+    for limit in (8_000_000, 2_000):  # bytes that are broadcast: all trees, or none
+        monkeypatch.setattr(forest, "GROUP_BYTES", limit)
+        rows = evaluation.prediction_intervals(model, data).orderBy("row_id").collect()
         assert np.allclose([r["prediction_std"] for r in rows], trees.std(axis=0), atol=1e-9)
         assert np.allclose([r["interval_width"] for r in rows], 2 * 1.959963984540054 * trees.std(axis=0), atol=1e-8)
     assert evaluation.prediction_intervals(fit_regressor("gradient_boosting", {**DEFAULTS["gradient_boosting"], "n_estimators": 2}, data, ctx), data) is None
