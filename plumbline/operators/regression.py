@@ -9,13 +9,14 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.forest import PREDICTION, UNLIMITED, TreeEstimator, TreeModel
+from plumbline.operators.kernel import KernelEstimator, KernelModel
 from plumbline.operators.linear import cross_products, fold_rmse
 from plumbline.operators.neighbors import NearestNeighbors, NeighborModel
 from plumbline.operators.splitting import fold_column, require_folds
@@ -37,7 +38,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     "gradient_boosting": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0},
     "xgboost": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6, "subsample": 0.8, "colsample": 0.8, "reg_alpha": 0.0, "reg_lambda": 1.0},
     "decision_tree": {"max_depth": None, "min_samples_leaf": 1, "min_samples_split": 2},
-    "svr": {"C": 1.0, "gamma": "scale", "components": 64},
+    "svr": {"C": 1.0, "gamma": "scale", "epsilon": 0.1, "components": 128},
     "knn": {"n_neighbors": 5},
 }
 
@@ -95,43 +96,7 @@ make_decision_tree, make_random_forest, make_boosting = _trees("tree"), _trees("
 
 
 def make_kernel(params, ctx):
-    """Random Fourier features of the RBF kernel, then a linear fit with Huber loss.
-
-    The features are cosines of fixed random directions, so they are one projection
-    in SQL and cost no shuffle.
-    """
-    gamma = params["gamma"]
-    d = len(ctx.features)
-    if gamma == "scale":
-        variance = float(np.mean(ctx.feature_vars)) if ctx.feature_vars else 1.0
-        gamma = 1.0 / (d * variance) if variance > 0 else 1.0
-    elif gamma == "auto":
-        gamma = 1.0 / d
-    rng = np.random.default_rng(ctx.seed)
-    directions = rng.normal(scale=np.sqrt(2 * gamma), size=(params["components"], d))
-    phases = rng.uniform(0, 2 * np.pi, params["components"])
-    terms = [
-        "cos(" + " + ".join(f"{float(w)!r}D * `{f}`" for w, f in zip(row, ctx.features)) + f" + {float(b)!r}D) AS __k{i}"
-        for i, (row, b) in enumerate(zip(directions, phases))
-    ]
-    kernel_features = [f"__k{i}" for i in range(params["components"])]
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
-            VectorAssembler(inputCols=kernel_features, outputCol="__kernel", handleInvalid="keep"),
-            SQLTransformer(
-                statement="SELECT * EXCEPT (" + ", ".join(kernel_features) + ") FROM __THIS__"
-            ),
-            LinearRegression(
-                featuresCol="__kernel",
-                labelCol=ctx.label,
-                loss="huber",
-                epsilon=1.35,
-                regParam=1.0 / (params["C"] * ctx.n),
-                maxIter=100,
-            ),
-        ]
-    )
+    return KernelEstimator({**DEFAULTS["svr"], **params}, ctx.features, ctx.label, ctx.ids, ctx.seed)
 
 
 def make_neighbors(params, ctx):
@@ -166,9 +131,9 @@ class Regressor:
 
     def transform(self, df: DataFrame, column: str = PREDICTION) -> DataFrame:
         """Adds the prediction: NULL for a row that lacks a feature, whatever the model."""
-        if not isinstance(self.model, (NeighborModel, PipelineModel, TreeModel)):
+        if not isinstance(self.model, (KernelModel, NeighborModel, PipelineModel, TreeModel)):
             df = VectorAssembler(inputCols=self.features, outputCol=FEATURES, handleInvalid="keep").transform(df)
-        df = self.model.transform(df).drop(FEATURES, "__kernel")
+        df = self.model.transform(df).drop(FEATURES)
         df = self.complete(df)
         return df if column == PREDICTION else df.withColumnRenamed(PREDICTION, column)
 
@@ -204,7 +169,7 @@ def fit_context(df: DataFrame, features: Sequence[str], label: str, ids: Sequenc
 def fit_regressor(name: str, params: Mapping, df: DataFrame, ctx: FitContext, factory=None) -> Regressor:
     """Fit one model. ``df`` may already hold the assembled vectors."""
     estimator = (factory or FACTORIES[name])(params, ctx)
-    if FEATURES in df.columns or isinstance(estimator, (NearestNeighbors, TreeEstimator)):
+    if FEATURES in df.columns or isinstance(estimator, (KernelEstimator, NearestNeighbors, TreeEstimator)):
         return Regressor(name, estimator.fit(df), list(ctx.features), ctx.label)
     vectors = assembled(df, ctx.features, ctx.label)
     if name in LINEAR:  # one scan
@@ -271,12 +236,12 @@ def cross_validate(
     factory=None,
     parallelism: int = 2,
 ) -> list[float]:
-    """RMSE per fold. Linear models need one pass for all folds, the trees of all folds grow together; others are fitted per fold."""
+    """RMSE per fold. Linear models need one pass for all folds, the trees or kernel models of all folds grow together; others are fitted per fold."""
     if name in LINEAR and factory is None:
         parts = cross_products(df, features, label, F.col(fold))
         require_folds(parts, folds)
         return cv_linear(name, params, parts)
-    if name in TREES and factory is None:
+    if name in (*TREES, "svr") and factory is None:
         return FACTORIES[name](params, FitContext(label, list(features), 0, 0.0, seed, (), tuple(ids))).fold_rmse(df, fold, folds)
     require_folds([r[0] for r in df.select(fold).distinct().collect()], folds)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plumbline.operators.cleaning import CapperModel, ImputerModel
 from plumbline.operators.engineering import FeatureEngineer, FeatureEngineerModel
 from plumbline.operators.forest import TreeModel
+from plumbline.operators.kernel import KernelModel
 from plumbline.operators.neighbors import NearestNeighbors, NeighborModel, Partition
 from plumbline.operators.regression import Regressor
 from plumbline.operators.scaling import ScalerModel
@@ -47,6 +48,8 @@ def save_model(regressor: Regressor, path: str, metadata: DataFrame | None = Non
         settings.write.mode("overwrite").parquet(f"{path}/neighbors")
     elif isinstance(regressor.model, TreeModel):
         regressor.model.save(f"{path}/forest")
+    elif isinstance(regressor.model, KernelModel):
+        regressor.model.save(f"{path}/kernel")
     else:
         regressor.model.write().overwrite().save(f"{path}/model")
     row = (regressor.name, regressor.label, list(regressor.features))
@@ -61,6 +64,8 @@ def load_model(spark: SparkSession, path: str) -> Regressor:
         model = _load_neighbors(spark, path)
     elif path_exists(spark, f"{path}/forest"):
         model = TreeModel.load(spark, f"{path}/forest")
+    elif path_exists(spark, f"{path}/kernel"):
+        model = KernelModel.load(spark, f"{path}/kernel")
     else:
         model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
     return Regressor(row["name"], model, list(row["features"]), row["label"])
