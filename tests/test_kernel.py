@@ -105,3 +105,12 @@ def test_gaps_constants_and_storage(spark, tmp_path):
     assert flat.transform(df).agg(F.max(F.abs(F.col("prediction") - 2.0))).first()[0] <= 0.1 + 1e-6
     with pytest.raises(ValueError, match="needs rows"):
         kernel.KernelEstimator(DEFAULTS["svr"], NAMES, "y", ["id"]).fit(df.where("id < 0"))
+
+
+def test_adders_change_nothing(spark, monkeypatch):
+    _, _, df = table(spark, 200)
+    estimator = kernel.KernelEstimator({**DEFAULTS["svr"], "components": 15}, NAMES, "y", ["id"])
+    direct = estimator.fit(df.repartition(9))
+    monkeypatch.setattr(kernel, "ADDERS", 3)
+    added = estimator.fit(df.repartition(9))
+    assert direct.centers == added.centers and direct.weights == pytest.approx(added.weights, rel=1e-4, abs=1e-5)
