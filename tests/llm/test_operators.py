@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +230,31 @@ def test_top_k_keeps_components_of_any_size(spark):
         topk.top_k(vectors, vectors.where("vec_id = 0"), 5).collect()
 
 
+def test_top_k_over_many_cells_copies_and_lengths(spark):
+    draw = np.random.default_rng(1)
+    around = draw.normal(size=(6, 8))
+    rows = [(i, around[0]) for i in range(500)] + [(i, around[draw.integers(6)] + 0.3 * draw.normal(size=8)) for i in range(500, 1400)]
+    rows += [(i, draw.normal(size=3)) for i in range(1400, 1500)]  # shards of another length
+    rows += [(7, rows[7][1])] * 12 + [(9000, rows[800][1])] * 9 + [(800, rows[800][1])] * 3 + [(9001, np.ones(1)), (9050, np.ones(0))]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(7)
+    whole, want = [(i, np.floor(256 * v).astype(np.int64)) for i, v in rows], []
+    for q, v in {i: v for i, v in whole if i % 50 == 0}.items():
+        scored = sorted((-int(v @ w), i) for i, w in whole if i != q and len(w) == len(v))[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, shard_rows=32)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_cells_that_cannot_reach_the_floor_are_not_visited():
+    near, far = np.array([[10.0, 0.0]]), np.array([[-10.0, 0.0]])
+    balls = {2: (np.concatenate([far, near]) * 256, np.array([1.0, 1.0]), np.array([0, 3]), np.array([3, 2]))}
+    asked = pa.RecordBatch.from_pylist([{"id": 4, "vec": [1.0, 0.0], "floor": None}, {"id": 5, "vec": [1.0, 0.0], "floor": 600_000}])
+    shards = lambda since, until: [(r["id"], r["shard"]) for b in topk.visits(balls, since, until)(iter([asked])) for r in b.to_pylist()]
+    assert shards(0, 1) == [(4, 3), (5, 4)]
+    assert shards(1, 4) == [(4, 4), (4, 1), (4, 2), (5, 3)]
+    assert shards(4, None) == [(4, 0)]
+
+
 def test_deep_chains_and_branches_have_their_levels(spark):
     calls = [(1, t, f"c{t}", "search", "{}", [f"c{t - 1}"] if t else []) for t in range(300)]  # a chain
     calls += [(2, t, f"c{t}", "search", "{}", [f"c{p}" for p in {t // 2, t - 1, t - 7} if 0 <= p < t]) for t in range(40)]  # several dependencies
