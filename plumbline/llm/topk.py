@@ -293,11 +293,18 @@ def best_of(found: DataFrame, k: int) -> DataFrame:
 
 
 def fitted_cuts(rows: DataFrame, n_rows: int, longest: int, shard_rows: int) -> dict[int, Cuts]:
-    """Cuts by length, from at most ``SAMPLED * CELLS`` vectors (fewer, if they are long) with the smallest hashes."""
+    """Cuts by length, from at most ``SAMPLED * CELLS`` vectors (fewer, if they are long), drawn by their hashes.
+
+    The draw leaves about twice that many before they are cut to size, however many partitions there are.
+    """
     cells = max(1, min(CELLS, n_rows // shard_rows, CUT_VALUES // max(1, longest)))
     if cells == 1:
         return {}
-    some = rows.select("vec").orderBy(F.xxhash64("vec", "id"), "id").limit(SAMPLED * cells).toArrow().column("vec").to_pylist()
+    wanted = SAMPLED * cells
+    drawn = rows.where(F.pmod(F.xxhash64("vec", "id"), F.lit(max(1, n_rows // (2 * wanted)))) == 0)
+    some = drawn.orderBy(F.xxhash64("id", "vec"), "id").limit(wanted).select("vec").toArrow().column("vec").to_pylist()
+    if not some:
+        return {}
     return {d: Cuts(sample, max(1, cells * len(at) // len(some))) for d, at, sample in by_length(some) if d}
 
 
