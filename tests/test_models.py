@@ -275,6 +275,28 @@ def test_searches(spark, data, tmp_path):
     assert tuner.adaptive_search("ridge", data, n_trials=500, timeout=0.0).total_fits == 3
 
 
+def test_adaptive_search_in_batches(spark, data, monkeypatch):
+    asked = []
+    whole = tuning.HyperparameterTuner._tree_trials
+
+    def counted(self, model, frame, batch):
+        asked.append(len(batch))
+        return whole(self, model, frame, batch)
+
+    monkeypatch.setattr(tuning.HyperparameterTuner, "_tree_trials", counted)
+    tuner = tuning.HyperparameterTuner(FEATURES, "y", ["row_id"], cv_folds=3)
+    space = {"max_depth": ("int", 1, 6), "min_samples_leaf": ("int", 1, 40)}
+    study = tuner.adaptive_search("decision_tree", data, n_trials=14, space=space, batch=6)
+    assert asked == [6, 6, 2] and study.total_fits == 42
+    assert len({tuple(sorted(t.params.items())) for t in study.trials}) > 7
+    again = tuning.HyperparameterTuner(FEATURES, "y", ["row_id"], cv_folds=3).adaptive_search("decision_tree", data, n_trials=14, space=space, batch=6)
+    assert [(t.params, t.scores) for t in again.trials] == [(t.params, t.scores) for t in study.trials]
+    one = tuner.grid_search("decision_tree", data, {k: [v] for k, v in study.best_params.items()})
+    assert one.best_score == pytest.approx(study.best_score)
+    with pytest.raises(ValueError):
+        tuner.adaptive_search("ridge", data, batch=0)
+
+
 def test_ensemble_and_lookup(spark):
     df = spark.createDataFrame([(1.0, 2.0, 6.0, "Fresno"), (2.0, 2.0, 2.0, None)], "a double, b double, c double, city string")
     rows = df.select(*scoring.ensemble(["a", "b", "c"])).collect()
