@@ -39,7 +39,8 @@ def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
 
 def word_indices(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words, the index of each word of all texts, and the number of words of each text."""
-    parts = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string())), SEPARATORS)
+    low = pc.ascii_lower(texts).cast(pa.large_string())  # lowered first: Arrow lowers a cast slice from its parent's beginning on
+    parts = pc.split_pattern_regex(low, SEPARATORS)
     lengths = pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = pc.list_flatten(parts)
     full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False).astype(bool)  # a separator at an end leaves an empty part

@@ -7,13 +7,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm.merkle import folded, manifest, siblings
 from plumbline.llm.near_vectors import near_vectors
 from plumbline.llm.ranks import positions
-from plumbline.llm.resample import resample
+from plumbline.llm.resample import _pieces, feature_buckets, resample
 
 
 def sha(text: str) -> str:
@@ -83,6 +84,18 @@ def test_draws_of_word_runs(spark, sf, sizes):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((*w, rank.get(w[0]))) for w in want)
 
 
+def test_words_of_texts_in_pieces(monkeypatch):
+    """A batch with more text than one piece: the texts of each piece are those of the batch."""
+    monkeypatch.setattr("plumbline.llm.resample.PIECE", 50)
+    texts = [None, "One two, Three", "", "Ünï-cödé É x" * 9, "A b c", None, "\x00last ONE é", "a" * 70, "b B b"] * 3
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    pieces = list(_pieces(pa.array(texts, pa.string())))
+    got = [found for piece in pieces for found in feature_buckets(piece, 1, 10_000)]
+    assert len(pieces) > 3
+    assert np.concatenate([counts for _, counts in got]).tolist() == [len(w) for w in words]
+    assert np.concatenate([found for found, _ in got]).tolist() == [zlib.crc32(w.encode()) % 10_000 for t in words for w in t]
+
+
 def near_rows(seed: int) -> list[tuple]:
     """A hot label with a dense group, pairs at different cosines, copies, and labels of few rows."""
     rng = np.random.default_rng(seed)
