@@ -193,3 +193,22 @@ def test_training_scores_every_fold(data):
     trainer = ModelTrainer({"random_forest": {"params": {"n_estimators": 5}}}, cv_folds=3)
     result = trainer.train_single("random_forest", data, FEATURES, "y", ["id"], data.limit(50))
     assert len(result.fold_scores) == 3 and result.cv_rmse > result.train["rmse"] > 0
+
+
+@pytest.mark.parametrize("name, cuts", [("decision_tree", ()), ("decision_tree", (2, 6)), ("random_forest", ())])
+def test_a_part_meets_the_rows_that_end_in_it(data, monkeypatch, name, cuts):
+    """A model too large to broadcast: its parts are copied for the rows they score, not for all rows."""
+    monkeypatch.setattr(forest, "LOCAL_VALUES", 400)
+    rows = forest.packed_rows(data, FEATURES, "y", ["id"])
+    specs = [forest.Spec(0, t, 42, Growth(min_leaf=2), bootstrap=name == "random_forest", inner=bool(cuts)) for t in range(3 if name == "random_forest" else 1)]
+    trees = forest.grow_trees(rows, specs).cache()
+    asked = data.withColumn("a", F.when(F.col("id") != 7, F.col("a"))).withColumn("note", F.lit("kept"))
+    names = ["id", "note", "__s0", "__q", *[f"__s{i + 1}" for i in range(len(cuts))]]
+    want = sorted(map(tuple, forest.score(asked, FEATURES, trees, cuts=cuts).select(names).collect()))
+    monkeypatch.setattr(forest, "GROUP_BYTES", 1_000)
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 20)
+    copies, dealt = [], forest._dealt_parts
+    monkeypatch.setattr(forest, "_dealt_parts", lambda *a: copies.append(dealt(*a)) or copies[0])
+    got = sorted(map(tuple, forest.score(asked, FEATURES, trees, cuts=cuts).select(names).collect()))
+    assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[2:] for g in got], [w[2:] for w in want])
+    assert 2 * copies[0].count() < trees.where("node >= 0").count() * 400 / 20
