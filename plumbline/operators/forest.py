@@ -11,6 +11,7 @@ from __future__ import annotations
 import dataclasses
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -20,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, NumericType, StructField, StructType, UserDefinedType, VariantType
+from pyspark.storagelevel import StorageLevel
 
 from plumbline.operators.cart import Growth, Tree, grow
 from plumbline.operators.splitting import require_folds
+from plumbline.operators.stats import spread
 from plumbline.session import release, scratch_path, small_frame
 
 #: Values (rows times features) of a node that one task finishes.
@@ -41,6 +44,8 @@ HELD_HISTOGRAMS = 2_000
 MOST_TASKS = 2_000
 #: Rounds of boosting after which predictions are written.
 SETTLED_ROUNDS = 10
+#: Boosted models (as of several folds) that grow at the same time.
+BOOSTED_TOGETHER = 5
 PREDICTION, UNLIMITED = "prediction", 30
 MODEL_DDL = "fit int, tree int, node int, body binary, gains array<double>, nodes long, depth int"
 _POISSON = np.exp(-1.0) * np.cumsum(1.0 / np.cumprod(np.concatenate([[1.0], np.arange(1.0, 16.0)])))
@@ -96,6 +101,7 @@ def _block(keys, folds, y, x) -> dict[str, Any]:
 
 BLOCK_SCHEMA = pa.schema([("n", pa.int64()), ("keys", pa.binary()), ("folds", pa.binary()), ("y", pa.binary()), ("x", pa.binary())])
 BLOCK_DDL = "n long, keys binary, folds binary, y binary, x binary"
+CODED_SCHEMA, CODED_DDL = pa.schema([*BLOCK_SCHEMA, ("codes", pa.binary())]), f"{BLOCK_DDL}, codes binary"
 VISIT_SCHEMA = pa.schema([("__group", pa.int32()), ("__block", pa.int32()), ("ids", pa.binary()), ("fits", pa.binary()), ("x", pa.binary())])
 
 
@@ -229,6 +235,13 @@ def feature_edges(flat: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     return flat.groupBy(*keys).agg(*[F.array_distinct(F.percentile_approx(c, shares, 10 * BINS)).alias(c) for c in columns])
 
 
+def table_edges(rows: Rows) -> list[np.ndarray]:
+    d = len(rows.features)
+    columns = [f"v{f}" for f in range(d)]
+    found = feature_edges(rows.blocks.mapInArrow(_flat_rows(d), ", ".join(f"{c} double" for c in columns)), columns).first()
+    return [np.array(found[c] if found[c] else [], float) for c in columns]
+
+
 def _flat_rows(d: int, specs: list[Spec] | None = None, tops: list[Tree] | None = None, stuck: list[set[int]] | None = None):
     """Over blocks: the features of each row, and with trees given, for each tree and node of ``stuck``."""
 
@@ -248,6 +261,22 @@ def _flat_rows(d: int, specs: list[Spec] | None = None, tops: list[Tree] | None
     return run
 
 
+def _codes(edges: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The bin of each value, feature by feature."""
+    return np.array([np.searchsorted(edges[f], x[:, f], "left") for f in range(x.shape[1])], np.uint16).reshape(x.shape[1], len(x))
+
+
+def _with_codes(edges: list[np.ndarray]):
+    """Over blocks: the same with ``codes``, which boosting reads in each round."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [_codes(edges, x).tobytes() for _, _, _, x in _opened(batch)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in BLOCK_SCHEMA.names), pa.array(codes, pa.binary())], CODED_SCHEMA)
+
+    return run
+
+
 def histograms(specs: list[Spec], tops: list[Tree], opened: list[list[int]], edges: list[dict[int, list[np.ndarray]]], d: int):
     """Over blocks: ``spec, node, feature, bin`` with weight, sum, sum of squares and rows, summed over the partition."""
     names = ["spec", "node", "feature", "bin", "w", "s", "q", "c"]
@@ -263,14 +292,34 @@ def histograms(specs: list[Spec], tops: list[Tree], opened: list[list[int]], edg
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for keys, folds, y, x in _opened(batch):
-                common = [np.searchsorted(edges[0][-1][f], x[:, f], "left") for f in range(d)]
+            known = batch.column("codes").to_pylist() if "codes" in batch.schema.names else []
+            for i, (keys, folds, y, x) in enumerate(_opened(batch)):
+                common = np.frombuffer(known[i], np.uint16).reshape(d, -1) if known else _codes(edges[0][-1], x)
                 for k, (spec, top) in enumerate(zip(specs, tops)):
                     if not opened[k]:
                         continue
                     weight = spec.weights(keys, folds)
                     at, _ = top.leaves(x)
-                    for node, here in _by_node(at, weight > 0, opened[k]):
+                    plain = [node for node in opened[k] if node not in edges[k]]
+                    if BINS * len(plain) <= len(y):  # few nodes: one count for all of them
+                        slot = np.full(len(top.feature), -1)
+                        slot[plain] = np.arange(len(plain))
+                        slot = slot[at]
+                        here = np.flatnonzero((slot >= 0) & (weight > 0))
+                        w, z, base = weight[here], y[here], slot[here] * BINS
+                        counted = np.empty((4, d, len(plain) * BINS))
+                        moments = (w, w * z, w * z * z, None)
+                        for f in range(d):
+                            at_bin = base + common[f][here]
+                            for m, v in enumerate(moments):
+                                counted[m, f] = np.bincount(at_bin, weights=v, minlength=len(plain) * BINS)
+                        for j in np.unique(base // BINS).tolist():
+                            total = sums.setdefault((k, plain[j]), np.zeros((4, d, BINS)))
+                            total += counted[:, :, j * BINS : (j + 1) * BINS]
+                        plain = set(plain)
+                    else:
+                        plain = set()
+                    for node, here in _by_node(at, weight > 0, [node for node in opened[k] if node not in plain]):
                         w, z, own = weight[here], y[here], edges[k].get(node)
                         total = sums.setdefault((k, node), np.zeros((4, d, BINS)))
                         for f in range(d):
@@ -342,7 +391,7 @@ def grow_tops(rows: Rows, specs: list[Spec], fits: float | None = None) -> list[
     kinds = ", ".join(f"{c} double" for c in columns)
     arrays = lambda r: [np.array(r[c] if r[c] else [], float) for c in columns]
     if rows.edges is None:
-        rows.edges = arrays(feature_edges(rows.blocks.mapInArrow(_flat_rows(d), kinds), columns).first())
+        rows.edges = table_edges(rows)
     edges: list[dict[int, list[np.ndarray]]] = [{-1: rows.edges} for _ in specs]
     tops = [Top(gains=np.zeros(d)) for _ in specs]
     for t, s in zip(tops, specs):
@@ -458,22 +507,45 @@ def boost_trees(rows: Rows, boosts: Sequence[Boost]) -> DataFrame:
         dealt = rows.blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
         dealt.repartition(groups, "group").groupBy("group").applyInArrow(run, MODEL_DDL).write.parquet(path)
         return spark.read.parquet(path)
-    for boost in boosts:
-        start = _start(boost, _mean_without(rows, boost.held_out), d)
-        small_frame(spark, [tuple(start.values())], MODEL_DDL).write.mode("append").parquet(path)
-        current, fresh = rows, [Tree.unpacked(start["body"])]
+    rows.edges = table_edges(rows) if rows.edges is None else rows.edges
+    coded = spread(rows.blocks.mapInArrow(_with_codes(rows.edges), CODED_DDL))
+    try:
+        with ThreadPoolExecutor(max(1, min(len(boosts), BOOSTED_TOGETHER))) as pool:
+            found = list(pool.map(lambda boost: _boost(dataclasses.replace(rows, blocks=coded), boost), boosts))
+    finally:
+        coded.unpersist()
+    small_frame(spark, [tuple(tree.values()) for trees in found for tree in trees], MODEL_DDL).write.parquet(path)
+    release(spark)
+    return spark.read.parquet(path)
+
+
+def _boost(rows: Rows, boost: Boost) -> list[dict]:
+    """The trees of one model from blocks with codes, grown by histograms: a few numbers for each node, which the driver holds anyway.
+
+    What is left of the labels is cached for a round; it is made in the scan that first reads it, from that of the round before.
+    """
+    spark, d = rows.blocks.sparkSession, len(rows.features)
+    out = [_start(boost, _mean_without(rows, boost.held_out), d)]
+    last, blocks = Tree.unpacked(out[0]["body"]), rows.blocks
+    held: list[DataFrame] = []
+    try:
         for i in range(boost.rounds):
             spec = boost.spec(i, d)
-            now = dataclasses.replace(current, blocks=current.blocks.mapInArrow(_residuals(fresh, boost.rate), BLOCK_DDL))
-            top = grow_tops(now, [spec], fits=0)[0]
-            rows.edges = current.edges = now.edges  # features stay as they are
-            small_frame(spark, [tuple(_row(spec, 0, top.tree(), top.gains).values())], MODEL_DDL).write.mode("append").parquet(path)
-            fresh.append(top.tree())
-            if len(fresh) >= SETTLED_ROUNDS and i + 1 < boost.rounds:
+            if i and i % SETTLED_ROUNDS == 0:  # so that a lost block is not made again from the first round
                 kept = scratch_path(spark, "residuals")
-                current.blocks.mapInArrow(_residuals(fresh, boost.rate), BLOCK_DDL).write.parquet(kept)
-                current, fresh = dataclasses.replace(current, blocks=spark.read.parquet(kept)), []
-    return spark.read.parquet(path)
+                blocks.write.parquet(kept)
+                blocks = spark.read.parquet(kept)
+            blocks = blocks.mapInArrow(_residuals([last], boost.rate), CODED_DDL).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(blocks)
+            top = grow_tops(dataclasses.replace(rows, blocks=blocks), [spec], fits=0)[0]
+            while len(held) > 1:
+                held.pop(0).unpersist()
+            last = top.tree()
+            out.append(_row(spec, 0, last, top.gains))
+    finally:
+        for blocks in held:
+            blocks.unpersist()
+    return out
 
 
 def _start(boost: Boost, mean: float, d: int) -> dict:
@@ -501,8 +573,8 @@ def _residuals(trees: list[Tree], rate: float):
                 left = y.copy()
                 for tree in trees:
                     left -= rate * tree.cut[tree.leaves(x)[0]]
-                out.append(_block(keys, folds, left, x))
-            yield pa.RecordBatch.from_pylist(out, BLOCK_SCHEMA)
+                out.append(left.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()) if c == "y" else batch.column(c) for c in CODED_SCHEMA.names], CODED_SCHEMA)
 
     return run
 

@@ -212,3 +212,14 @@ def test_a_part_meets_the_rows_that_end_in_it(data, monkeypatch, name, cuts):
     got = sorted(map(tuple, forest.score(asked, FEATURES, trees, cuts=cuts).select(names).collect()))
     assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[2:] for g in got], [w[2:] for w in want])
     assert 2 * copies[0].count() < trees.where("node >= 0").count() * 400 / 20
+
+
+def test_boosting_reads_the_residuals_of_the_round_before(data, monkeypatch):
+    """A round takes one tree off what the round before left, and bins are found once, before the first round."""
+    monkeypatch.setattr(forest, "LOCAL_VALUES", 100)
+    taken, left = [], forest._residuals
+    monkeypatch.setattr(forest, "_residuals", lambda trees, rate: taken.append(len(trees)) or left(trees, rate))
+    blocks, levels = [], forest.grow_tops
+    monkeypatch.setattr(forest, "grow_tops", lambda rows, *a, **k: blocks.append(rows.blocks.columns) or levels(rows, *a, **k))
+    fit_regressor("gradient_boosting", {**DEFAULTS["gradient_boosting"], "n_estimators": 4}, data, fit_context(data, FEATURES, "y", ["id"]))
+    assert taken == [1] * 4 and all("codes" in columns for columns in blocks)
