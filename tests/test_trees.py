@@ -223,3 +223,25 @@ def test_boosting_reads_the_residuals_of_the_round_before(data, monkeypatch):
     monkeypatch.setattr(forest, "grow_tops", lambda rows, *a, **k: blocks.append(rows.blocks.columns) or levels(rows, *a, **k))
     fit_regressor("gradient_boosting", {**DEFAULTS["gradient_boosting"], "n_estimators": 4}, data, fit_context(data, FEATURES, "y", ["id"]))
     assert taken == [1] * 4 and all("codes" in columns for columns in blocks)
+
+
+@pytest.mark.parametrize("held, calls", [(2_000, 1), (12, 2)])
+def test_tops_of_many_trees_share_their_scans(data, monkeypatch, held, calls):
+    """However few trees are finished at a time, their tops grow together, as far as a task can hold their sums."""
+    model = lambda: fit_regressor("random_forest", {**DEFAULTS["random_forest"], "n_estimators": 6}, data, fit_context(data, FEATURES, "y", ["id"]))
+    x, y = numbers(400)
+    monkeypatch.setattr(forest, "LOCAL_VALUES", 400)
+    monkeypatch.setattr(forest, "WAVE_ROWS", 800)
+    monkeypatch.setattr(forest, "HELD_HISTOGRAMS", held)
+    grown, levels = [], forest.grow_tops
+    monkeypatch.setattr(forest, "grow_tops", lambda rows, specs, *a, **k: grown.append(len(specs)) or levels(rows, specs, *a, **k))
+    table = model().model.table
+    assert len(grown) == calls and sum(grown) == 6
+    keys = np.array([r[0] for r in data.orderBy("id").select(F.xxhash64("id")).collect()]).view(np.uint64)
+    trees = {}
+    for r in table.collect():
+        trees.setdefault(r["tree"], {})[r["node"]] = Tree.unpacked(r["body"])
+    assert sorted(trees) == list(range(6))
+    for t, parts in trees.items():  # rows with values of their own: a tree gives back each row that it was grown on
+        used = forest.Spec(0, t, 42, Growth(), bootstrap=True).weights(keys, np.zeros(400, np.int32)) > 0
+        assert np.allclose(forest.tree_values(parts, x[used], ())[:, 0], y[used] - y.mean())
