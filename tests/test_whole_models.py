@@ -1,5 +1,7 @@
 """Registered queries use the registered defaults, not smaller stand-ins."""
 
+import threading
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from plumbline.operators import evaluation, selection, tuning
 from plumbline.operators.neighbors import NearestNeighbors
 from plumbline.operators.regression import DEFAULTS, MAX_DEPTH, Regressor, fit_context, fit_regressor
 from plumbline.plans import evaluation_queries, feature_queries, model_queries, scoring_queries, storage_queries
+from plumbline.session import overlapped
 from plumbline.sources import artifacts
 
 
@@ -139,3 +142,43 @@ def test_scoring_and_storing_take_every_model(spark, sf, monkeypatch):
         scoring_queries.registry.queries["batch_score"](spark, sf)
     assert asked == list(DEFAULTS)
     assert storage_queries._published.__defaults__ == (tuple(DEFAULTS),)
+
+
+def test_manifest_joins_its_rows_once(spark, sf, tmp_path, monkeypatch):
+    """All models of a manifest are fitted to rows that were made once, not by a join (and a broadcast) for each fit."""
+    train = model_queries.reg_split(spark, sf).filter("split = 'train'")
+    test = model_queries.reg_split(spark, sf).filter("split = 'test'")
+
+    def kept(spark, name, mark, build):
+        if not (tmp_path / name).exists():
+            build(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    def refuse(*_):
+        raise AssertionError("the rows of a fit were joined again")
+
+    monkeypatch.setattr(storage_queries.artifacts, "published", kept)
+    with monkeypatch.context() as m:
+        m.setattr(model_queries, "reg_split", refuse)
+        path, _ = storage_queries._published(spark, sf, ("linear_regression", "ridge"))
+    rows = {r["model"]: r for r in storage_queries.artifacts.read_manifest(spark, path).collect()}
+    assert set(rows) == {"linear_regression", "ridge"}
+    ctx = fit_context(train, model_queries.REG_FEATURES, "label", model_queries.REG_IDS)
+    for name, r in rows.items():
+        alone = fit_regressor(name, DEFAULTS[name], train, ctx).transform(test)
+        want = alone.agg(*model_queries.basic_metrics("label", "prediction")).first()
+        assert (r["test_rmse"], r["test_r2"]) == pytest.approx((want["rmse"], want["r2"]))
+
+
+def test_overlapped_work_keeps_its_order():
+    """Items run side by side, start in their order and come back in it; an error of one is the caller's."""
+    meet, begun = threading.Barrier(2, timeout=20), []
+
+    def work(i):
+        begun.append(i)
+        meet.wait()
+        return -i
+
+    assert overlapped(work, range(4)) == [0, -1, -2, -3] and begun == [0, 1, 2, 3]
+    with pytest.raises(ZeroDivisionError):
+        overlapped(lambda i: 1 // i, [1, 0])
