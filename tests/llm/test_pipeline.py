@@ -113,3 +113,14 @@ def test_run_is_the_stages(spark, sf, by_stage):
 def test_stages_take_anything(spark, request, where):
     got = corpus_pipeline.run(spark, request.getfixturevalue(where))
     assert (got.count() > 0) == (where == "hostile")
+
+
+def test_the_driver_lets_go_between_stages(spark, tmp_path, monkeypatch):
+    """What a stage leaves on the driver is collected before the next one: its heap does not fill with plans of all stages."""
+    spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    done = []
+    monkeypatch.setattr(corpus_pipeline, "release", lambda session: done.append("released"))
+    stages = [(name, lambda spark, docs, d, name=name: done.append(name) or docs) for name in ("one", "two", "last")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 2
+    assert done == ["one", "released", "two", "released", "last"]
