@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ def _cut(df: DataFrame, group: Column, sizes: Sequence[int], wanted: Sequence[in
     """The ``wanted[g]`` rows with the smallest (key, id) of every group ``g``, as one filter expression.
 
     The key of the last wanted row is an exact order statistic. Rows that share that
-    key are told apart by a second key of all their ids, whatever the ids' types.
+    key are told apart by a second key of all their ids, whatever the ids' types, and rows
+    that share both by the ids themselves; rows with the same ids stay together.
     """
     key = row_key(*ids, seed=seed)
     names = [str(g) for g in range(len(sizes))]
@@ -47,9 +49,22 @@ def _cut(df: DataFrame, group: Column, sizes: Sequence[int], wanted: Sequence[in
             second = row_key(*ids, seed=seed + 1)
             edge = order_statistics(df, {"id": F.when(tied, second)}, {"id": [need - 1]}, {"id": r["equal"]})["id", need - 1]
             chosen = chosen & ~(tied & (second > F.lit(edge)))
+            last_ids = _last_ids(df.where(tied), second, edge, need, ids)
+            if last_ids is not None:
+                chosen = chosen & ~(tied & (second == F.lit(edge)) & (F.struct(*ids) > last_ids))
     return chosen
 
 
+def _last_ids(tied: DataFrame, second: Column, edge: int, need: int, ids: Sequence[str]) -> Column | None:
+    """The ids of the last of the ``need`` rows with the smallest second key and ids, if those with the key ``edge`` differ in ids."""
+    need -= tied.where(second < F.lit(edge)).count()
+    same = tied.where(second == F.lit(edge)).groupBy(*ids).count().orderBy(*ids).collect()  # ids that agree in two hashes: a few
+    if len(same) < 2:
+        return None
+    last = next(r for r, upto in zip(same, accumulate(r["count"] for r in same)) if upto >= need)
+    return F.struct(*[F.lit(last[i]).cast(tied.schema[name].dataType).alias(name) for i, name in enumerate(ids)])
+
+
 def split_exact(df: DataFrame, ids: Sequence[str], test_size: float = 0.2, seed: int = 42, column: str = "split") -> DataFrame:
     """Add ``split``: exactly ``ceil(test_size * n)`` test rows. The ids must identify a row."""
     n = df.count()

@@ -109,6 +109,17 @@ def test_exact_split_with_equal_keys(spark, monkeypatch):
     assert test == [i for i in range(500) if i % 3 == 0][:100]
 
 
+def test_exact_split_with_gaps_in_the_ids(spark):
+    """Keys leave out nulls: (1, null) and (null, 1) agree in all of them, but are two rows."""
+    rows = [(i, None) for i in range(40)] + [(None, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    for size in (0.1125, 0.3125, 0.5125):  # an odd number of rows
+        got = splitting.split_exact(df, ["a", "b"], size)
+        assert got.filter("split = 'test'").count() == math.ceil(size * 80 - 1e-9)
+    same = splitting.split_exact(spark.createDataFrame([(7, None)] * 9, "a long, b long"), ["a", "b"], 0.3)
+    assert same.select("split").distinct().count() == 1  # rows with the same ids stay together
+
+
 def test_stratified_split_keeps_shares(spark):
     df = spark.range(1000).select(F.col("id").alias("row_id"), (F.col("id") % 100).cast("double").alias("y"))
     got = splitting.split_stratified(df, ["row_id"], "y").groupBy("y").pivot("split").count()
