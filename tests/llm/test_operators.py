@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.llm import jaccard, language, mixing, quality, topk
+from plumbline.llm import common, jaccard, language, mixing, quality, topk
 from plumbline.llm.components import components
 from plumbline.llm.language import classifier
 from plumbline.llm.line_dedup import drop_shared_lines
@@ -120,6 +120,18 @@ def test_keep_one_of_each_keeps_columns(spark):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, "a b c d e f", "y"), (2, None, None), (None, "a b c d e f", "z")]))
 
 
+def test_join_frees_the_driver_after_each_of_its_jobs(spark, monkeypatch):
+    """What a job broadcast must not wait on the driver for the jobs that come after it."""
+    done, settle = [], common.settle
+    monkeypatch.setattr(common, "settle", lambda *given: done.append("settled") or settle(*given))
+    monkeypatch.setattr(common, "release", lambda session: done.append("released"))
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = [(1, text), (2, f"{text} thirteen"), (3, "a b c d e f")]
+    got = jaccard.similar_classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert len(done) > 20 and done == ["settled", "released"] * (len(done) // 2)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 60)] + [(160, 160)] + [(7, 3)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
