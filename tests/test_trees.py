@@ -1,10 +1,12 @@
 """Trees grown on Spark against exhaustive search, in one task and by histograms."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import forest
+from plumbline.operators import cart, forest
 from plumbline.operators.cart import Growth, Tree, grow
 from plumbline.operators.regression import DEFAULTS, ModelTrainer, fit_context, fit_regressor
 from plumbline.operators.splitting import fold_column, require_folds, test_flag as is_test_row
@@ -84,6 +86,44 @@ def test_default_tree_equals_exhaustive_search(data):
     assert sum(model.model.importances) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("how", [Growth(), Growth(3), Growth(None, 4), Growth(5, 2, 12), Growth(4, penalty=(0.5, 2.0))])
+@pytest.mark.parametrize("front", [20, 32_768])
+def test_sums_by_value_give_what_exhaustive_search_gives(monkeypatch, how, front):
+    """Levels whose rows are summed up by value, then levels of sorted rows, whole and in runs of nodes."""
+    monkeypatch.setattr(cart, "SUMMED_ROWS", 8)
+    monkeypatch.setattr(cart, "FRONT_ROWS", front)
+    x, y = numbers(160)
+    x[:, 0], x[:, 2] = np.round(x[:, 0]), np.round(3 * x[:, 2])
+    summed, asked = [], cart._Front.summed
+    monkeypatch.setattr(cart._Front, "summed", lambda *a: summed.append(asked(*a)) or summed[-1])
+    w = np.random.default_rng(1).poisson(1, 160).astype(float)
+    tree, gains = grow(x, y, w, how, np.random.default_rng(0), inner=True)
+    found = exhaustive(x[w > 0], y[w > 0], w[w > 0], how)
+    assert np.allclose(tree.cut[tree.leaves(x)[0]], [walked(found, r) for r in x])
+    assert {True, False} == set(summed) and gains.min() >= 0
+
+
+def test_waves_of_trees_are_finished_side_by_side(spark, data, monkeypatch):
+    """Two at a time: each waits until another one has begun."""
+    ctx = fit_context(data, FEATURES, "y", ["id"])
+    params = {**DEFAULTS["random_forest"], "n_estimators": 8}
+    want = predicted(fit_regressor("random_forest", params, data, ctx), data)
+    both, finish, sizes = threading.Barrier(2, timeout=60), forest._finish, []
+
+    def waiting(rows, specs, tops):
+        both.wait()
+        sizes.append(len(specs))
+        return finish(rows, specs, tops)
+
+    monkeypatch.setattr(forest, "LOCAL_VALUES", 400)
+    monkeypatch.setattr(forest, "WAVE_ROWS", 1_600)  # four trees
+    monkeypatch.setattr(forest, "_finish", waiting)
+    model = fit_regressor("random_forest", params, data, ctx)
+    assert sizes == [2] * 4 and model.model.table.where("node = -1").count() == 8
+    got = predicted(model, data)
+    assert np.corrcoef(got, want)[0, 1] > 0.99
+
+
 def test_histograms_then_tasks_fit_every_row(spark, data, monkeypatch):
     """With at most 100 rows in a task: rows with their own values are told apart to the last one, also where bins are too coarse."""
     monkeypatch.setattr(forest, "LOCAL_VALUES", 400)
