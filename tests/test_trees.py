@@ -158,6 +158,25 @@ def test_groups_of_trees_add_up(data, monkeypatch, name):
     assert np.allclose(predicted(model, data), scanned)
 
 
+def test_sizes_of_parts_are_known_without_them(data, monkeypatch):
+    rows = forest.packed_rows(data, FEATURES, "y", ["id"])
+    monkeypatch.setattr(forest, "LOCAL_VALUES", 400)
+    for inner in (False, True):
+        trees = forest.grow_trees(rows, [forest.Spec(0, t, 42, Growth(), bootstrap=True, inner=inner) for t in range(3)]).where("node >= 0")
+        want = [tuple(r) for r in trees.select("fit", "tree", "node", F.octet_length("body")).orderBy("fit", "tree", "node").collect()]
+        assert len(want) > 6 and forest.part_sizes(trees.drop("body"), inner) == want
+    rows.blocks.unpersist()
+
+
+def test_rows_of_one_file_are_routed_on_all_cores(spark, data, monkeypatch):
+    model = fit_regressor("random_forest", {**DEFAULTS["random_forest"], "n_estimators": 4}, data, fit_context(data, FEATURES, "y", ["id"]))
+    want, routed, counted = predicted(model, data), [], forest._on_all_cores
+    monkeypatch.setattr(forest, "GROUP_BYTES", 3_000)
+    monkeypatch.setattr(forest, "_on_all_cores", lambda *a: routed.append(counted(*a)) or routed[-1])
+    assert np.allclose(predicted(model, data.coalesce(1)), want)
+    assert routed[0].rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+
+
 def test_forest_is_its_trees(data):
     """A forest's trees are exhaustive trees of their weighted rows; its spread is that of their values."""
     model = fit_regressor("random_forest", {**DEFAULTS["random_forest"], "n_estimators": 4}, data, fit_context(data, FEATURES, "y", ["id"])).model
