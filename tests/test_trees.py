@@ -91,6 +91,7 @@ def test_default_tree_equals_exhaustive_search(data):
 def test_sums_by_value_give_what_exhaustive_search_gives(monkeypatch, how, front):
     """Levels whose rows are summed up by value, then levels of sorted rows, whole and in runs of nodes."""
     monkeypatch.setattr(cart, "SUMMED_ROWS", 8)
+    monkeypatch.setattr(cart, "NODE_ROWS", 1)
     monkeypatch.setattr(cart, "FRONT_ROWS", front)
     x, y = numbers(160)
     x[:, 0], x[:, 2] = np.round(x[:, 0]), np.round(3 * x[:, 2])
