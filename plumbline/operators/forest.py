@@ -12,7 +12,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import struct
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
@@ -49,7 +49,7 @@ GATHERED_HISTOGRAMS = 2_000
 MOST_TASKS = 2_000
 #: Rounds of boosting after which predictions are written.
 SETTLED_ROUNDS = 10
-#: Boosted models (as of several folds) that grow at the same time.
+#: Boosted models (as of several folds) that share the scans of their rows.
 BOOSTED_TOGETHER = 5
 PREDICTION, UNLIMITED = "prediction", 30
 MODEL_DDL = "fit int, tree int, node int, body binary, gains array<double>, nodes long, depth int"
@@ -119,6 +119,7 @@ class Rows:
     edges: list[np.ndarray] | None = None  # of the bins of each feature, once they are known
     labels: int = 1  # sets of labels in a block
     parts: int | None = None  # of the blocks, once they are counted
+    with_values: Callable[[], DataFrame] | None = None  # the same blocks, where these hold the bins of values alone
 
     @property
     def local(self) -> bool:
@@ -131,7 +132,7 @@ def _block(keys, folds, y, x) -> dict[str, Any]:
 
 BLOCK_SCHEMA = pa.schema([("n", pa.int64()), ("keys", pa.binary()), ("folds", pa.binary()), ("y", pa.binary()), ("x", pa.binary())])
 BLOCK_DDL = "n long, keys binary, folds binary, y binary, x binary"
-CODED_SCHEMA, CODED_DDL = pa.schema([*BLOCK_SCHEMA, ("codes", pa.binary())]), f"{BLOCK_DDL}, codes binary"
+CODED_DDL = f"{BLOCK_DDL}, codes binary"
 VISIT_SCHEMA = pa.schema([("__group", pa.int32()), ("__block", pa.int32()), ("ids", pa.binary()), ("fits", pa.binary()), ("x", pa.binary())])
 
 
@@ -158,7 +159,7 @@ def packed_rows(df: DataFrame, features: Sequence[str], label: str, ids: Sequenc
             one = _block(keys, batch.column("fold").to_numpy(), batch.column(f"v{d}").to_numpy() - center, x)
             yield pa.RecordBatch.from_pylist([one] if len(keys) else [], BLOCK_SCHEMA)
 
-    return Rows(flat.mapInArrow(pack, BLOCK_DDL).persist(), n, list(features), center)
+    return Rows(spread(flat.mapInArrow(pack, BLOCK_DDL)), n, list(features), center)
 
 
 def _whole(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -304,22 +305,6 @@ def _flat_rows(d: int, specs: list[Spec] | None = None, tops: list[Tree] | None
     return run
 
 
-def _codes(edges: list[np.ndarray], x: np.ndarray) -> np.ndarray:
-    """The bin of each value, feature by feature."""
-    return np.array([np.searchsorted(edges[f], x[:, f], "left") for f in range(x.shape[1])], np.uint16).reshape(x.shape[1], len(x))
-
-
-def _with_codes(edges: list[np.ndarray]):
-    """Over blocks: the same with ``codes``, which boosting reads in each round."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = [_codes(edges, x).tobytes() for _, _, _, x in _opened(batch)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in BLOCK_SCHEMA.names), pa.array(codes, pa.binary())], CODED_SCHEMA)
-
-    return run
-
-
 SUMS_DDL = "spec int, node int, sums binary"
 
 
@@ -447,6 +432,8 @@ def grow_tops(rows: Rows, specs: list[Spec], fits: float | None = None) -> list[
             for node in set(opened[k]) - met:
                 t.state[node] = "leaf"
         if any(stuck):
+            if rows.with_values is not None:
+                rows = dataclasses.replace(rows, blocks=rows.with_values(), with_values=None)
             flat = rows.blocks.mapInArrow(_flat_rows(d, specs, trees, stuck), f"spec int, node int, {kinds}")
             for r in feature_edges(flat, columns, ["spec", "node"]).collect():
                 edges[r["spec"]][r["node"]] = arrays(r)
@@ -533,43 +520,64 @@ def boost_trees(rows: Rows, boosts: Sequence[Boost]) -> DataFrame:
         dealt.repartition(groups, "group").groupBy("group").applyInArrow(run, MODEL_DDL).write.parquet(path)
         return spark.read.parquet(path)
     rows.edges = table_edges(rows) if rows.edges is None else rows.edges
-    coded = spread(rows.blocks.mapInArrow(_with_codes(rows.edges), CODED_DDL))
-    try:
-        with ThreadPoolExecutor(max(1, min(len(boosts), BOOSTED_TOGETHER))) as pool:
-            found = list(pool.map(lambda boost: _boost(dataclasses.replace(rows, blocks=coded), boost), boosts))
-    finally:
-        coded.unpersist()
-    small_frame(spark, [tuple(tree.values()) for trees in found for tree in trees], MODEL_DDL).write.parquet(path)
+    found: list[dict] = []
+    of_rounds: dict[int, list[Boost]] = {}
+    for boost in boosts:
+        of_rounds.setdefault(boost.rounds, []).append(boost)
+    for same in of_rounds.values():
+        for first in range(0, len(same), BOOSTED_TOGETHER):
+            found += _boost(rows, same[first : first + BOOSTED_TOGETHER])
+    small_frame(spark, [tuple(tree.values()) for tree in found], MODEL_DDL).write.parquet(path)
     release(spark)
     return spark.read.parquet(path)
 
 
-def _boost(rows: Rows, boost: Boost) -> list[dict]:
-    """The trees of one model from blocks with codes, grown by histograms: a few numbers for each node, which the driver holds anyway.
+def _boost(rows: Rows, boosts: Sequence[Boost]) -> list[dict]:
+    """The trees of models of equally many rounds, grown by histograms: a few numbers for each node, which the driver holds anyway.
 
-    What is left of the labels is cached for a round; it is made in the scan that first reads it, from that of the round before.
+    Each scan of the rows serves a level of all models. What is left of their labels is cached for a round, beside the bins of the values;
+    the values come along only once a node has needed bins of its own.
     """
     spark, d = rows.blocks.sparkSession, len(rows.features)
-    out = [_start(boost, _mean_without(rows, boost.held_out), d)]
-    last, blocks = Tree.unpacked(out[0]["body"]), rows.blocks
+    out = [_start(b, _mean_without(rows, b.held_out), d) for b in boosts]
+    grown = [[Tree.unpacked(o["body"])] for o in out]
+    rates = [b.rate for b in boosts]
+    binned = lambda trees: [(t, _last_bins(t, rows.edges)) for t in trees]
+    lean, blocks, last = True, rows.blocks, binned(t[0] for t in grown)
     held: list[DataFrame] = []
+
+    def kept(table: DataFrame) -> DataFrame:
+        held.append(table.persist(StorageLevel.MEMORY_AND_DISK))
+        return held[-1]
+
+    def with_values() -> DataFrame:
+        nonlocal lean, blocks
+        lean = False
+        taken = [(k, t) for k, trees in enumerate(grown) for t in trees]
+        blocks = kept(_taken_off(rows.blocks, rows.edges, binned(t for _, t in taken), [rates[k] for k, _ in taken], [k for k, _ in taken], len(boosts), False))
+        return blocks
+
     try:
-        for i in range(boost.rounds):
-            spec = boost.spec(i, d)
+        for i in range(boosts[0].rounds):
+            specs = [b.spec(i, d) for b in boosts]
             if i and i % SETTLED_ROUNDS == 0:  # so that a lost block is not made again from the first round
-                kept = scratch_path(spark, "residuals")
-                blocks.write.parquet(kept)
-                blocks = spark.read.parquet(kept)
-            blocks = blocks.mapInArrow(_residuals([last], boost.rate), CODED_DDL).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(blocks)
-            top = grow_tops(dataclasses.replace(rows, blocks=blocks), [spec], fits=0)[0]
+                settled = scratch_path(spark, "residuals")
+                blocks.write.parquet(settled)
+                blocks = spark.read.parquet(settled)
+            blocks = kept(_residuals(last, rates)(blocks, rows.edges, lean))
+            had = dataclasses.replace(rows, blocks=blocks, labels=len(boosts), parts=None if i == 0 else parts, with_values=with_values if lean else None)
+            tops = grow_tops(had, specs, fits=0)
+            parts = had.parts
             while len(held) > 1:
                 held.pop(0).unpersist()
-            last = top.tree()
-            out.append(_row(spec, 0, last, top.gains))
+            trees = [t.tree() for t in tops]
+            last = binned(trees) if lean else [(t, []) for t in trees]
+            for k, tree in enumerate(trees):
+                grown[k].append(tree)
+                out.append(_row(specs[k], 0, tree, tops[k].gains))
     finally:
-        for blocks in held:
-            blocks.unpersist()
+        for table in held:
+            table.unpersist()
     return out
 
 
@@ -590,18 +598,16 @@ def _mean_without(rows: Rows, fold: int) -> float:
     return total / n
 
 
-def _residuals(trees: list[Tree], rate: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for keys, folds, y, x in _opened(batch):
-                left = y.copy()
-                for tree in trees:
-                    left -= rate * tree.cut[tree.leaves(x)[0]]
-                out.append(left.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()) if c == "y" else batch.column(c) for c in CODED_SCHEMA.names], CODED_SCHEMA)
+def _taken_off(blocks: DataFrame, edges: list[np.ndarray], trees: Sequence[tuple[Tree, list[int]]], rates: Sequence[float], of: Sequence[int], sets: int, lean: bool) -> DataFrame:
+    """Blocks with what trees leave of their set of labels, in their order; a tree goes by bins where it has one for each node."""
+    whole = Spec(0, 0, 0, Growth())
+    plan = [_plan([whole] * len(trees), [t for t, _ in trees]), _edges(edges), _array(rates, np.float64), _array(of, np.int32)]
+    return over_partitions(blocks, "Residuals", CODED_DDL, b"".join([*plan, *(_array(bins, np.int32) for _, bins in trees)]), sets, int(lean))
 
-    return run
+
+def _residuals(trees: Sequence[tuple[Tree, list[int]]], rates: Sequence[float]):
+    """What one round leaves of the labels: a tree for each model."""
+    return lambda blocks, edges, lean: _taken_off(blocks, edges, trees, rates, range(len(trees)), len(trees), lean)
 
 
 # Scoring
